@@ -162,3 +162,374 @@ def names() -> list[str]:
     return sorted(REGISTRY)
 
 
+
+
+# --- sources and scalar functions ---------------------------------------------
+
+from ledgerline.functions import as_amount, as_bigint, as_date, code  # noqa: E402
+from ledgerline.operators import changes, incremental, quality  # noqa: E402
+from ledgerline.operators.versions import latest_version  # noqa: E402
+from ledgerline.plans import checks, mart, reports  # noqa: E402
+from ledgerline.schemas import INGEST_SEQ, LOADED_AT, MODELS  # noqa: E402
+
+GAPPY = fixtures.Variant(gappy_rates=True)
+ZERO = fixtures.Variant(zero_rates=True)
+ORPHANS = fixtures.Variant(orphans=True)
+DAMAGED = fixtures.Variant(gappy_rates=True, orphans=True)
+
+
+@query("scan_players")
+def q_scan_players(spark, sf_dir):
+    """The raw players version log, every version as text."""
+    return raw(spark, sf_dir)["players"].drop(INGEST_SEQ)
+
+
+@query("cast_typed_staging")
+def q_cast_typed_staging(spark, sf_dir):
+    """Every raw deposit version cast to BIGINT / DATE / DECIMAL (ANSI: bad text raises)."""
+    r = raw(spark, sf_dir)["deposits"]
+    return r.select(
+        as_bigint("id").alias("deposit_id"),
+        as_bigint("player_id").alias("player_id"),
+        as_date("deposit_date").alias("deposit_date"),
+        as_bigint("provider_id").alias("provider_id"),
+        as_amount("amount").alias("amount"),
+    )
+
+
+@query("normalize_codes")
+def q_normalize_codes(spark, sf_dir):
+    """Raw currency text next to its code (trimmed, upper case) for every deposit and withdrawal."""
+    r = raw(spark, sf_dir)
+    ops = r["deposits"].select("id", "currency").unionByName(r["withdrawals"].select("id", "currency"))
+    return ops.select(as_bigint("id").alias("op_id"), F.col("currency").alias("raw_currency"), code("currency").alias("currency"))
+
+
+@query("convert_to_usd")
+def q_convert_to_usd(spark, sf_dir):
+    """All three operation types converted with the rate of their day (one broadcast rate table)."""
+    w = full(spark, sf_dir)
+    parts = []
+    for name, spec in mart.FACTS.items():
+        ops = w.staging[spec.staging].select(
+            F.lit(spec.staging).alias("op_type"),
+            F.col(spec.id_col).alias("op_id"),
+            F.col(spec.op_date).alias("op_date"),
+            "currency",
+            "amount",
+            LOADED_AT,
+        )
+        parts.append(mart.convert_currency(ops, w.staging["currency_rates"], "op_date"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("zero_rate_is_null")
+def q_zero_rate_is_null(spark, sf_dir):
+    """fact_deposit when some RUB rates are 0: those rows get NULL USD instead of an error."""
+    return full(spark, sf_dir, ZERO).facts["fact_deposit"]
+
+
+@query("missing_rate_is_null")
+def q_missing_rate_is_null(spark, sf_dir):
+    """fact_bet when some INR rates are missing: the rows stay, with NULL USD."""
+    return full(spark, sf_dir, GAPPY).facts["fact_bet"]
+
+
+@query("row_freshness")
+def q_row_freshness(spark, sf_dir):
+    """greatest(operation, rate) load time per fact row; a missing rate does not null it."""
+    w = full(spark, sf_dir, GAPPY)
+    parts = [
+        w.facts[n].select(F.lit(n).alias("table_name"), F.col(s.id_col).alias("op_id"), LOADED_AT)
+        for n, s in mart.FACTS.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("high_water_mark")
+def q_high_water_mark(spark, sf_dir):
+    """coalesce(max(loaded_at), 1900-01-01) of every stored model."""
+    w = full(spark, sf_dir)
+    parts = [
+        incremental.watermark_frame(w.table(name)).select(F.lit(name).alias("table_name"), "watermark")
+        for name in MODELS
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- windows and versions -------------------------------------------------------
+
+
+@query("latest_version_per_key")
+def q_latest_version_per_key(spark, sf_dir):
+    """Newest raw version of every bet id (row_number() = 1), still as text."""
+    return latest_version(raw(spark, sf_dir)["games"], ["id"]).drop(INGEST_SEQ)
+
+
+@query("latest_rate_per_day_currency")
+def q_latest_rate_per_day_currency(spark, sf_dir):
+    """Newest raw rate version per (date, currency)."""
+    return latest_version(raw(spark, sf_dir)["currency_rates"], ["date", "currency"]).drop(INGEST_SEQ)
+
+
+# --- change capture ---------------------------------------------------------------
+
+
+def _raw_after_a(spark, sf_dir):
+    snap_a = fixtures.event_snapshot(spark, sf_dir, fixtures.SNAPSHOT_A_BEFORE)
+    first = changes.new_or_changed(snap_a, None, fixtures.EVENT_KEYS, fixtures.EVENT_COLUMNS)
+    return changes.stamp(first, _ts(fixtures.LOAD_A))
+
+
+def _ts(text):
+    import datetime as dt
+
+    return dt.datetime.fromisoformat(text)
+
+
+def _load_b(spark, sf_dir):
+    raw_a = _raw_after_a(spark, sf_dir)
+    snap_b = fixtures.event_snapshot(spark, sf_dir)
+    processed, inserted = changes.changes_for_load(
+        snap_b, raw_a, fixtures.EVENT_KEYS, fixtures.EVENT_COLUMNS, "event_date", fixtures.EVENT_LOOKBACK_DAYS
+    )
+    return raw_a, processed, inserted
+
+
+@query("lookback_cutoff")
+def q_lookback_cutoff(spark, sf_dir):
+    """Newest stored event date and the window start (max - 7 days)."""
+    return changes.cutoff_frame(_raw_after_a(spark, sf_dir), "event_date", fixtures.EVENT_LOOKBACK_DAYS)
+
+
+@query("lookback_filter")
+def q_lookback_filter(spark, sf_dir):
+    """Snapshot B rows inside the look-back window (date >= cutoff, inclusive)."""
+    return _load_b(spark, sf_dir)[1]
+
+
+@query("new_or_changed_rows")
+def q_new_or_changed_rows(spark, sf_dir):
+    """Snapshot B rows that are new keys or differ from the stored latest version."""
+    return _load_b(spark, sf_dir)[2]
+
+
+@query("load_counts")
+def q_load_counts(spark, sf_dir):
+    """Rows processed inside the window and versions inserted by the second load."""
+    _, processed, inserted = _load_b(spark, sf_dir)
+    return changes.load_counts("events_snapshot", processed, inserted)
+
+
+@query("raw_second_batch")
+def q_raw_second_batch(spark, sf_dir):
+    """The raw log after loading snapshot A and then snapshot B."""
+    raw_a, _, inserted = _load_b(spark, sf_dir)
+    return raw_a.unionByName(changes.stamp(inserted, _ts(fixtures.LOAD_B)))
+
+
+@query("distinct_on_latest")
+def q_distinct_on_latest(spark, sf_dir):
+    """Latest stored version per key inside the window, after both loads."""
+    raw_ab = q_raw_second_batch(spark, sf_dir)
+    cutoff = changes.cutoff_date(raw_ab, "event_date", fixtures.EVENT_LOOKBACK_DAYS)
+    return changes.latest_stored(raw_ab, fixtures.EVENT_KEYS, "event_date", cutoff)
+
+
+@query("collapse_repeated_versions")
+def q_collapse_repeated_versions(spark, sf_dir):
+    """All events as one file: a row is kept only when it differs from its key's previous row."""
+    feed = fixtures.event_feed(spark, sf_dir)
+    return changes.new_or_changed(feed, None, fixtures.EVENT_KEYS, fixtures.FEED_COLUMNS)
+
+
+@query("snapshot_diff_players")
+def q_snapshot_diff_players(spark, sf_dir):
+    """Undated table: the whole players snapshot compared with the stored versions."""
+    stored = raw(spark, sf_dir)["players"].filter(F.col(LOADED_AT) == F.lit(_ts(fixtures.FIRST_LOAD)))
+    cols = list(fixtures.RAW_TABLES["players"].columns)
+    latest = changes.latest_stored(stored, ["id"], None, None)
+    return changes.new_or_changed(fixtures.current_players(spark, sf_dir), latest, ["id"], cols)
+
+
+# --- incremental selections -----------------------------------------------------------
+
+
+def _pm_watermark(spark, sf_dir):
+    return incremental.high_water_mark(first_batch(spark, sf_dir).player_metrics)
+
+
+@query("affected_dates_union")
+def q_affected_dates_union(spark, sf_dir):
+    """Dates touched by any fact row newer than player_metrics after batch 1."""
+    w2 = two_batches(spark, sf_dir)
+    return mart.affected_dates(w2.facts, _pm_watermark(spark, sf_dir))
+
+
+@query("affected_dates_semi")
+def q_affected_dates_semi(spark, sf_dir):
+    """Every operation on a touched date (semi join), the input of the day replacement."""
+    w2 = two_batches(spark, sf_dir)
+    dates = mart.affected_dates(w2.facts, _pm_watermark(spark, sf_dir))
+    touched = {
+        n: incremental.restrict_to(df, mart.FACTS[n].fact_date, dates, "activity_date") for n, df in w2.facts.items()
+    }
+    return mart.player_operations(touched)
+
+
+@query("distinct_activity_dates")
+def q_distinct_activity_dates(spark, sf_dir):
+    """SELECT DISTINCT activity_date of player_metrics rows newer than metrics_overview after batch 1."""
+    w = incremental.high_water_mark(first_batch(spark, sf_dir).metrics_overview)
+    return incremental.newer_than(two_batches(spark, sf_dir).player_metrics, w).select("activity_date").distinct()
+
+
+@query("affected_dates_by_dimension")
+def q_affected_dates_by_dimension(spark, sf_dir):
+    """Dates metrics_overview restates in batch 2: new metrics, plus all days of moved players."""
+    w = incremental.high_water_mark(first_batch(spark, sf_dir).metrics_overview)
+    w2 = two_batches(spark, sf_dir)
+    from ledgerline.plans.report import restated_dates
+
+    return restated_dates(w2.player_metrics, w2.dims["dim_player"], w)
+
+
+@query("fact_two_input_increment")
+def q_fact_two_input_increment(spark, sf_dir):
+    """fact_withdrawal batch-2 rows: new withdrawals plus old ones whose rate was revised."""
+    w1 = first_batch(spark, sf_dir)
+    w2 = two_batches(spark, sf_dir)
+    wm = incremental.high_water_mark(w1.facts["fact_withdrawal"])
+    cand = mart.fact_candidates(w2.staging["withdrawals"], w2.staging["currency_rates"], wm, "withdrawal_date")
+    return mart.fact(cand, w2.staging["currency_rates"], "fact_withdrawal")
+
+
+@query("orphan_player_segment")
+def q_orphan_player_segment(spark, sf_dir):
+    """metrics_overview when some players are unknown: their sums land in a NULL segment."""
+    return full(spark, sf_dir, ORPHANS).metrics_overview
+
+
+# --- aggregates and data quality ------------------------------------------------------------
+
+
+@query("fact_totals_by_currency")
+def q_fact_totals_by_currency(spark, sf_dir):
+    """count, amount and USD amount per (day, currency) for each operation type, from staging."""
+    w = full(spark, sf_dir)
+    parts = []
+    for name, spec in mart.FACTS.items():
+        t = checks.fact_totals_expected(w.staging[spec.staging], w.staging["currency_rates"], spec.op_date)
+        parts.append(t.select(F.lit(name).alias("table_name"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("daily_totals")
+def q_daily_totals(spark, sf_dir):
+    """Sums per day of metrics_overview."""
+    return checks.daily_totals(full(spark, sf_dir).metrics_overview)
+
+
+def _damaged_facts(spark, sf_dir):
+    f = full(spark, sf_dir).facts
+    dep = f["fact_deposit"].filter(F.col("deposit_id") % 1000 != 0)
+    wd = f["fact_withdrawal"].withColumn(
+        "amount",
+        F.when(F.col("withdrawal_id") % 1000 == 1, F.col("amount") + F.lit(0.01).cast("decimal(4,2)"))
+        .otherwise(F.col("amount"))
+        .cast(f["fact_withdrawal"].schema["amount"].dataType),
+    )
+    bet = f["fact_bet"].unionByName(f["fact_bet"].filter(F.col("bet_id") % 5000 == 1))
+    return {"fact_deposit": dep, "fact_withdrawal": wd, "fact_bet": bet}
+
+
+for _n in ("fact_deposit", "fact_withdrawal", "fact_bet"):
+
+    def _recon(spark, sf_dir, _n=_n):
+        w = full(spark, sf_dir)
+        spec = mart.FACTS[_n]
+        return checks.recon_fact(w.staging[spec.staging], w.staging["currency_rates"], _damaged_facts(spark, sf_dir)[_n], _n)
+
+    _recon.__doc__ = f"Totals of a damaged {_n} against staging: reports exactly the damaged (day, currency)."
+    query(f"recon_{_n}")(_recon)
+
+
+@query("recon_player_metrics")
+def q_recon_player_metrics(spark, sf_dir):
+    """player_metrics against facts that lost some deposits: reports those (player, day) rows."""
+    w = full(spark, sf_dir)
+    facts = {**w.facts, "fact_deposit": _damaged_facts(spark, sf_dir)["fact_deposit"]}
+    return checks.recon_player_metrics(facts, w.player_metrics)
+
+
+@query("recon_metrics_overview")
+def q_recon_metrics_overview(spark, sf_dir):
+    """metrics_overview against player_metrics missing players with id % 100 = 1: reports those days."""
+    w = full(spark, sf_dir)
+    pm = w.player_metrics.filter(F.col("player_id") % 100 != 1)
+    return checks.recon_metrics_overview(pm, w.metrics_overview)
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf_dir):
+    """bet_id values held by more than one row of a fact_bet with duplicated rows."""
+    return checks.unique(_damaged_facts(spark, sf_dir)["fact_bet"], "fact_bet")
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    """NULL count of every column of facts, metrics and report with missing rates and unknown players."""
+    w = full(spark, sf_dir, DAMAGED)
+    tables = {**w.facts, "player_metrics": w.player_metrics, "metrics_overview": w.metrics_overview}
+    parts = [quality.null_counts(df, df.columns, name) for name, df in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# --- dashboard data ---------------------------------------------------------------------------
+
+REPORT_FILTER = {
+    "start": "1997-01-01",
+    "end": "1999-12-31",
+    "countries": ("FRANCE", "GERMANY", "INDIA", "RUSSIA", "UNITED KINGDOM", "UNITED STATES"),
+    "registration_types": ("BUILDING", "MACHINERY"),
+}
+
+
+@query("report_by_period")
+def q_report_by_period(spark, sf_dir):
+    """Totals per day, week, month, quarter and year."""
+    return reports.by_period(full(spark, sf_dir).metrics_overview)
+
+
+@query("report_by_country")
+def q_report_by_country(spark, sf_dir):
+    """Monthly totals per registration country."""
+    return reports.by_dimension(full(spark, sf_dir).metrics_overview, "country")
+
+
+@query("report_by_type")
+def q_report_by_type(spark, sf_dir):
+    """Monthly totals per registration type."""
+    return reports.by_dimension(full(spark, sf_dir).metrics_overview, "registration_type")
+
+
+@query("report_filtered")
+def q_report_filtered(spark, sf_dir):
+    """Monthly totals per country inside a period, for chosen countries and registration types."""
+    df = reports.filtered(full(spark, sf_dir).metrics_overview, **REPORT_FILTER)
+    return reports.by_dimension(df, "country")
+
+
+@query("period_over_period")
+def q_period_over_period(spark, sf_dir):
+    """Monthly totals with the previous month's and the change."""
+    return reports.period_over_period(full(spark, sf_dir).metrics_overview, "month")

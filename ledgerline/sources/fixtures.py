@@ -255,3 +255,58 @@ def in_batch1(df: DataFrame) -> DataFrame:
 def split_batches(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Raw state after the first batch: only versions loaded on or before the split day."""
     return {name: in_batch1(df) for name, df in raw.items()}
+
+
+# ---------------------------------------------------------------------------
+# Fixed values of the change-capture fixture built from ``events``:
+#   business key (user_id, event_type), window column event_date, look-back 7 days,
+#   snapshot A = latest event per key before 2024-01-21, snapshot B = latest over all events,
+#   load times 2024-01-21 (A) and 2024-01-31 (B); feed band = floor(value / 100)
+# ---------------------------------------------------------------------------
+EVENT_KEYS = ("user_id", "event_type")
+EVENT_COLUMNS = ("user_id", "event_type", "event_date", "value")
+FEED_COLUMNS = ("user_id", "event_type", "band")
+EVENT_LOOKBACK_DAYS = 7
+SNAPSHOT_A_BEFORE = "2024-01-21 00:00:00"
+LOAD_A = "2024-01-21 00:00:00"
+LOAD_B = "2024-01-31 00:00:00"
+
+
+def event_snapshot(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+    """One text row per (user_id, event_type): its latest event (by ts, event_id) before ``before``.
+
+    ``ingest_seq`` is that event's id, i.e. the snapshot file lists keys in event order.
+    """
+    e = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    if before is not None:
+        e = e.filter(F.col("ts") < F.lit(before).cast(T.TimestampNTZType()))
+    latest = e.groupBy("user_id", "event_type").agg(
+        F.max_by(F.struct("event_id", "ts", "value"), F.struct("ts", "event_id")).alias("last")
+    )
+    return latest.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("event_type"),
+        _day_text(F.col("last.ts").cast(T.DateType())).alias("event_date"),
+        _money_text(F.col("last.value")).alias("value"),
+        F.col("last.event_id").alias(INGEST_SEQ),
+    )
+
+
+def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a text row (user_id, event_type, band), in event order: a key repeats,
+    often with an unchanged band, which exercises collapsing of repeats inside one file."""
+    e = _read(spark, sf_dir, "events")
+    return e.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("event_type"),
+        F.floor(F.col("value") / 100).cast("long").cast("string").alias("band"),
+        F.col("event_id").alias(INGEST_SEQ),
+    )
+
+
+def current_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Today's players snapshot: the moved players' new country, everybody else unchanged."""
+    from ledgerline.operators.versions import latest_version
+
+    cols = list(RAW_TABLES["players"].columns)
+    return latest_version(raw_players(spark, sf_dir), ["id"]).select(*cols, INGEST_SEQ)
