@@ -38,21 +38,23 @@ def newer_than(df: DataFrame, watermark: dt.datetime, col: str = LOADED_AT) -> D
     return df.filter(F.col(col) > F.lit(watermark).cast(T.TimestampType()))
 
 
-def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_insert(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], batch_rows: int | None = None
+) -> DataFrame:
     """Drop target rows whose key occurs in the batch, then add every batch row.
 
     Plain equality: NULL keys are never deleted, and duplicates inside the batch are all
     inserted (the semantics of delete+insert, not of MERGE).
     """
     keys = list(keys)
-    batch_keys = bounded_broadcast(batch.select(*keys).distinct(), BATCH_KEYS_BROADCAST_ROWS)
+    batch_keys = bounded_broadcast(batch.select(*keys).distinct(), BATCH_KEYS_BROADCAST_ROWS, batch_rows)
     kept = target.join(batch_keys, on=keys, how="left_anti")
     return kept.unionByName(batch)
 
 
-def replace_days(target: DataFrame, fresh: DataFrame, date_col: str) -> DataFrame:
+def replace_days(target: DataFrame, fresh: DataFrame, date_col: str, fresh_rows: int | None = None) -> DataFrame:
     """Key not unique: every target row of a date present in ``fresh`` is replaced."""
-    return delete_insert(target, fresh, [date_col])
+    return delete_insert(target, fresh, [date_col], fresh_rows)
 
 
 def dates_touched(sources: Mapping[str, DataFrame], watermark: dt.datetime | None, out: str) -> DataFrame:
@@ -70,7 +72,11 @@ def dates_touched(sources: Mapping[str, DataFrame], watermark: dt.datetime | Non
     return result.distinct()
 
 
-def restrict_to(df: DataFrame, date_col: str, dates: DataFrame, dates_col: str) -> DataFrame:
+def restrict_to(
+    df: DataFrame, date_col: str, dates: DataFrame, dates_col: str, dates_rows: int | None = None
+) -> DataFrame:
     """Rows of ``df`` on one of ``dates`` (semi join against a small, checked date set)."""
-    small = bounded_broadcast(dates.select(F.col(dates_col).alias(date_col)).distinct(), BATCH_KEYS_BROADCAST_ROWS)
+    small = bounded_broadcast(
+        dates.select(F.col(dates_col).alias(date_col)).distinct(), BATCH_KEYS_BROADCAST_ROWS, dates_rows
+    )
     return df.join(small, on=date_col, how="left_semi")

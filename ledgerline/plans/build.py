@@ -1,21 +1,61 @@
-"""Whole-warehouse builds as DataFrame compositions (no storage).
-
-``full_build`` is one lazy plan from raw to report. ``advance`` applies one incremental
-batch to a previous state the way the stored job does; each model it produces is cut from
-its lineage with a reliable ``checkpoint()`` in the session's checkpoint folder, which
-stands in for the table write.
+"""Whole-warehouse builds as DataFrame compositions.
+
+``full_build`` is one lazy plan from raw to report (nothing stored). ``advance`` applies one
+incremental batch to a previous state in job order, the way the stored job does. Every
+model it produces goes through a ``Materialize`` function that writes it (a reliable
+checkpoint here, a table in ``sources.store``) and measures, in the same job, its row count
+and watermark with ``observe``. Those measurements replace separate watermark and
+size-check jobs: a batch broadcast is decided from its exact row count.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from ledgerline.operators.incremental import delete_insert, newer_than, replace_days, restrict_to
 from ledgerline.plans import mart, report, staging
+from ledgerline.schemas import LOADED_AT, MODELS
 from ledgerline.session import checkpoint_dir
 
 STAGING_TABLES = ("players", "providers_map", "games_map", "currency_rates", "deposits", "withdrawals", "games")
+SENTINEL = dt.datetime(1900, 1, 1)
+
+
+@dataclass
+class Table:
+    """A written model: its data, ``coalesce(max(loaded_at), sentinel)`` and its row count."""
+
+    df: DataFrame
+    watermark: dt.datetime
+    rows: int
+
+
+Materialize = Callable[[str, DataFrame], Table]
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, Observation]:
+    obs = Observation()
+    cols = [F.count(F.lit(1)).alias("rows")]
+    if LOADED_AT in df.columns:
+        cols.append(F.max(LOADED_AT).alias("watermark"))
+    return df.observe(obs, *cols), obs
+
+
+def table_from(df: DataFrame, obs: Observation) -> Table:
+    m = obs.get
+    return Table(df, m.get("watermark") or SENTINEL, int(m["rows"]))
+
+
+def checkpointed(name: str, df: DataFrame) -> Table:
+    """Write ``df`` as a reliable checkpoint in the session's checkpoint folder and measure it."""
+    checkpoint_dir(df.sparkSession)
+    obs_df, obs = measured(df)
+    return table_from(obs_df.checkpoint(eager=True), obs)
 
 
 @dataclass
@@ -25,6 +65,7 @@ class Warehouse:
     facts: dict[str, DataFrame]
     player_metrics: DataFrame
     metrics_overview: DataFrame
+    tables: dict[str, Table] = field(default_factory=dict)
 
     @property
     def monthly_summary(self) -> DataFrame:
@@ -44,40 +85,93 @@ class Warehouse:
         return self.staging[name]
 
 
-def _facts_from(stg: dict[str, DataFrame], build) -> dict[str, DataFrame]:
-    rates = stg["currency_rates"]
-    return {name: build(name, stg[spec.staging], rates) for name, spec in mart.FACTS.items()}
-
-
 def full_build(raw: dict[str, DataFrame]) -> Warehouse:
     stg = {t: staging.stage(raw[t], t) for t in STAGING_TABLES}
     dims = {d: mart.dimension(stg[src], d) for d, (src, _) in mart.DIMENSIONS.items()}
-    facts = _facts_from(stg, lambda name, ops, rates: mart.fact(ops, rates, name))
+    rates = stg["currency_rates"]
+    facts = {name: mart.fact(stg[spec.staging], rates, name) for name, spec in mart.FACTS.items()}
     pm = mart.player_metrics(facts)
     mo = report.metrics_overview(pm, dims["dim_player"])
     return Warehouse(stg, dims, facts, pm, mo)
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Materialise a model as the job would write it, and cut the lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def advance(state: Warehouse | None, raw: dict[str, DataFrame]) -> Warehouse:
-    """Apply the raw versions newer than each model's watermark, in job order."""
-    prev = state
-    stg = {
-        t: _stored(staging.stage_increment(prev.staging[t] if prev else None, raw[t], t)) for t in STAGING_TABLES
-    }
-    dims = {
-        d: _stored(mart.dimension_increment(prev.dims[d] if prev else None, stg[src], d))
-        for d, (src, _) in mart.DIMENSIONS.items()
-    }
-    facts = _facts_from(
-        stg,
-        lambda name, ops, rates: _stored(mart.fact_increment(prev.facts[name] if prev else None, ops, rates, name)),
+def advance(prev: Warehouse | None, raw: dict[str, DataFrame], materialize: Materialize = checkpointed) -> Warehouse:
+    """Apply the versions newer than each model's watermark; ``prev=None`` is the first build."""
+    out: dict[str, Table] = {}
+
+    def before(name: str) -> Table | None:
+        return prev.tables[name] if prev is not None else None
+
+    def keyed(name: str, batch_df: DataFrame) -> Table:
+        """delete+insert the batch by the model's key; an empty batch leaves the table as it is."""
+        old = before(name)
+        if old is None:
+            return materialize(name, batch_df)
+        batch = materialize(f"{name}__batch", batch_df)
+        if batch.rows == 0:
+            return old
+        return materialize(name, delete_insert(old.df, batch.df, MODELS[name].keys, batch.rows))
+
+    def wm(name: str) -> dt.datetime:
+        old = before(name)
+        return old.watermark if old is not None else SENTINEL
+
+    for t in STAGING_TABLES:
+        out[t] = keyed(t, staging.stage(newer_than(raw[t], wm(t)), t))
+    for d, (src, _) in mart.DIMENSIONS.items():
+        out[d] = keyed(d, mart.dimension(newer_than(out[src].df, wm(d)), d))
+
+    rates = out["currency_rates"]
+    for name, spec in mart.FACTS.items():
+        ops = out[spec.staging].df
+        if before(name) is None:
+            batch_df = mart.fact(ops, rates.df, name, rates.rows)
+        else:
+            cand = mart.fact_candidates(ops, rates.df, wm(name), spec.op_date, rates.rows)
+            batch_df = mart.fact(cand, rates.df, name, rates.rows)
+        out[name] = keyed(name, batch_df)
+
+    facts = {n: out[n].df for n in mart.FACTS}
+    old_pm = before("player_metrics")
+    if old_pm is None:
+        out["player_metrics"] = materialize("player_metrics", mart.player_metrics(facts))
+    else:
+        dates = materialize("player_metrics__dates", mart.affected_dates(facts, old_pm.watermark))
+        touched = {
+            n: restrict_to(df, mart.FACTS[n].fact_date, dates.df, "activity_date", dates.rows) for n, df in facts.items()
+        }
+        fresh = materialize("player_metrics__batch", mart.aggregate_player_day(mart.player_operations(touched)))
+        out["player_metrics"] = (
+            old_pm
+            if fresh.rows == 0
+            else materialize("player_metrics", replace_days(old_pm.df, fresh.df, "activity_date", fresh.rows))
+        )
+
+    pm, dim_player = out["player_metrics"], out["dim_player"]
+    old_mo = before("metrics_overview")
+    if old_mo is None:
+        out["metrics_overview"] = materialize("metrics_overview", report.metrics_overview(pm.df, dim_player.df, dim_player.rows))
+    else:
+        dates = materialize(
+            "metrics_overview__dates", report.restated_dates(pm.df, dim_player.df, old_mo.watermark, dim_player.rows)
+        )
+        fresh = materialize(
+            "metrics_overview__batch",
+            report.aggregate_segments(
+                restrict_to(pm.df, "activity_date", dates.df, "activity_date", dates.rows), dim_player.df, dim_player.rows
+            ),
+        )
+        out["metrics_overview"] = (
+            old_mo
+            if fresh.rows == 0
+            else materialize("metrics_overview", replace_days(old_mo.df, fresh.df, "activity_date", fresh.rows))
+        )
+
+    return Warehouse(
+        staging={t: out[t].df for t in STAGING_TABLES},
+        dims={d: out[d].df for d in mart.DIMENSIONS},
+        facts=facts,
+        player_metrics=out["player_metrics"].df,
+        metrics_overview=out["metrics_overview"].df,
+        tables=out,
     )
-    pm = _stored(mart.player_metrics_increment(prev.player_metrics if prev else None, facts))
-    mo = _stored(report.metrics_overview_increment(prev.metrics_overview if prev else None, pm, dims["dim_player"]))
-    return Warehouse(stg, dims, facts, pm, mo)

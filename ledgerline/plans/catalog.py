@@ -51,9 +51,7 @@ def two_batches(spark: SparkSession, sf_dir: str) -> build.Warehouse:
     """State after batch 1 (versions loaded up to the split day) and then batch 2 (the rest)."""
     key = (id(spark), sf_dir)
     if key not in _INCR:
-        r = raw(spark, sf_dir)
-        first = build.advance(None, fixtures.split_batches(r))
-        _INCR[key] = build.advance(first, r)
+        _INCR[key] = build.advance(first_batch(spark, sf_dir), raw(spark, sf_dir))
     return _INCR[key]
 
 
@@ -362,7 +360,7 @@ def q_snapshot_diff_players(spark, sf_dir):
 
 
 def _pm_watermark(spark, sf_dir):
-    return incremental.high_water_mark(first_batch(spark, sf_dir).player_metrics)
+    return first_batch(spark, sf_dir).tables["player_metrics"].watermark
 
 
 @query("affected_dates_union")
@@ -386,14 +384,14 @@ def q_affected_dates_semi(spark, sf_dir):
 @query("distinct_activity_dates")
 def q_distinct_activity_dates(spark, sf_dir):
     """SELECT DISTINCT activity_date of player_metrics rows newer than metrics_overview after batch 1."""
-    w = incremental.high_water_mark(first_batch(spark, sf_dir).metrics_overview)
+    w = first_batch(spark, sf_dir).tables["metrics_overview"].watermark
     return incremental.newer_than(two_batches(spark, sf_dir).player_metrics, w).select("activity_date").distinct()
 
 
 @query("affected_dates_by_dimension")
 def q_affected_dates_by_dimension(spark, sf_dir):
     """Dates metrics_overview restates in batch 2: new metrics, plus all days of moved players."""
-    w = incremental.high_water_mark(first_batch(spark, sf_dir).metrics_overview)
+    w = first_batch(spark, sf_dir).tables["metrics_overview"].watermark
     w2 = two_batches(spark, sf_dir)
     from ledgerline.plans.report import restated_dates
 
@@ -405,7 +403,7 @@ def q_fact_two_input_increment(spark, sf_dir):
     """fact_withdrawal batch-2 rows: new withdrawals plus old ones whose rate was revised."""
     w1 = first_batch(spark, sf_dir)
     w2 = two_batches(spark, sf_dir)
-    wm = incremental.high_water_mark(w1.facts["fact_withdrawal"])
+    wm = w1.tables["fact_withdrawal"].watermark
     cand = mart.fact_candidates(w2.staging["withdrawals"], w2.staging["currency_rates"], wm, "withdrawal_date")
     return mart.fact(cand, w2.staging["currency_rates"], "fact_withdrawal")
 

@@ -93,7 +93,9 @@ FACTS = {
 }
 
 
-def convert_currency(ops: DataFrame, rates: DataFrame, date_col: str, amount_col: str = "amount") -> DataFrame:
+def convert_currency(
+    ops: DataFrame, rates: DataFrame, date_col: str, amount_col: str = "amount", rates_rows: int | None = None
+) -> DataFrame:
     """Left join to the rate *of that day* and currency; a missing or zero rate gives NULL USD.
 
     Adds ``amount_usd`` and replaces ``loaded_at`` by the later of operation and rate.
@@ -104,7 +106,7 @@ def convert_currency(ops: DataFrame, rates: DataFrame, date_col: str, amount_col
         F.col("currency_units_per_usd").alias("_units_per_usd"),
         F.col(LOADED_AT).alias("_rate_loaded_at"),
     )
-    r = bounded_broadcast(r, RATES_BROADCAST_ROWS)
+    r = bounded_broadcast(r, RATES_BROADCAST_ROWS, rates_rows)
     joined = ops.join(
         r, (ops[date_col] == r["_rate_date"]) & (ops["currency"] == r["_rate_currency"]), "left"
     )
@@ -113,15 +115,17 @@ def convert_currency(ops: DataFrame, rates: DataFrame, date_col: str, amount_col
     ).drop("_rate_date", "_rate_currency", "_units_per_usd", "_rate_loaded_at")
 
 
-def fact(ops: DataFrame, rates: DataFrame, name: str) -> DataFrame:
+def fact(ops: DataFrame, rates: DataFrame, name: str, rates_rows: int | None = None) -> DataFrame:
     spec = FACTS[name]
-    out = convert_currency(ops, rates, spec.op_date)
+    out = convert_currency(ops, rates, spec.op_date, rates_rows=rates_rows)
     if spec.op_date != spec.fact_date:
         out = out.withColumnRenamed(spec.op_date, spec.fact_date)
     return out.select(*spec.columns)
 
 
-def fact_candidates(ops: DataFrame, rates: DataFrame, watermark, date_col: str) -> DataFrame:
+def fact_candidates(
+    ops: DataFrame, rates: DataFrame, watermark, date_col: str, rates_rows: int | None = None
+) -> DataFrame:
     """Operations whose fact row would have ``greatest(op.loaded_at, rate.loaded_at) > w``.
 
     Written as two disjoint parts so that both filters reach the scans:
@@ -132,7 +136,8 @@ def fact_candidates(ops: DataFrame, rates: DataFrame, watermark, date_col: str)
         F.col("rate_date").alias(date_col), F.col("currency")
     )
     old_ops = ops.filter(F.col(LOADED_AT) <= F.lit(watermark).cast("timestamp"))
-    repriced = old_ops.join(bounded_broadcast(new_rates.distinct(), RATES_BROADCAST_ROWS), [date_col, "currency"], "left_semi")
+    new_rates = bounded_broadcast(new_rates.distinct(), RATES_BROADCAST_ROWS, rates_rows)
+    repriced = old_ops.join(new_rates, [date_col, "currency"], "left_semi")
     return new_ops.unionByName(repriced)
 
 

@@ -15,31 +15,32 @@ from ledgerline.schemas import LOADED_AT
 DIM_PLAYER_BROADCAST_ROWS = 5_000_000
 
 
-def _segment_rows(pm: DataFrame, dim_player: DataFrame) -> DataFrame:
+def _segment_rows(pm: DataFrame, dim_player: DataFrame, dim_rows: int | None = None) -> DataFrame:
     """Left join: a player missing from the dimension keeps its row with a NULL segment."""
     p = dim_player.select(
         "player_id", "country", "registration_type", F.col(LOADED_AT).alias("_player_loaded_at")
     )
-    return pm.join(bounded_broadcast(p, DIM_PLAYER_BROADCAST_ROWS), "player_id", "left")
+    return pm.join(bounded_broadcast(p, DIM_PLAYER_BROADCAST_ROWS, dim_rows), "player_id", "left")
 
 
-def aggregate_segments(pm: DataFrame, dim_player: DataFrame) -> DataFrame:
-    rows = _segment_rows(pm, dim_player)
+def aggregate_segments(pm: DataFrame, dim_player: DataFrame, dim_rows: int | None = None) -> DataFrame:
+    rows = _segment_rows(pm, dim_player, dim_rows)
     return rows.groupBy("activity_date", "country", "registration_type").agg(
         *[F.sum(m).alias(m) for m in METRICS],
         F.max(freshest(F.col(LOADED_AT), F.col("_player_loaded_at"))).alias(LOADED_AT),
     )
 
 
-def metrics_overview(pm: DataFrame, dim_player: DataFrame) -> DataFrame:
-    return aggregate_segments(pm, dim_player)
+def metrics_overview(pm: DataFrame, dim_player: DataFrame, dim_rows: int | None = None) -> DataFrame:
+    return aggregate_segments(pm, dim_player, dim_rows)
 
 
-def restated_dates(pm: DataFrame, dim_player: DataFrame, watermark) -> DataFrame:
+def restated_dates(pm: DataFrame, dim_player: DataFrame, watermark, dim_rows: int | None = None) -> DataFrame:
     """Dates to restate: new metric rows, plus every day of a player whose attributes changed."""
     by_metrics = newer_than(pm, watermark).select("activity_date")
     changed_players = newer_than(dim_player, watermark).select("player_id")
-    by_player = pm.join(bounded_broadcast(changed_players, DIM_PLAYER_BROADCAST_ROWS), "player_id", "inner").select(
+    changed = bounded_broadcast(changed_players, DIM_PLAYER_BROADCAST_ROWS, dim_rows)
+    by_player = pm.join(changed, "player_id", "inner").select(
         "activity_date"
     )
     return by_metrics.unionByName(by_player).distinct()

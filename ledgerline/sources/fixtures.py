@@ -47,8 +47,15 @@ class Variant:
 BASE = Variant()
 
 
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One DataFrame per input table and session (the scan is shared, the listing done once)."""
+    key = (id(spark), sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
 
 
 def _ts(text: str) -> Column:
