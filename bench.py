@@ -59,7 +59,9 @@ def main() -> None:
 
     # The raw layer is a stored table in the pipeline (written by the loader); derive it from
     # the test tables once and store it, outside the timed steps.
-    raw = {name: df.checkpoint(eager=True) for name, df in fixtures.raw_tables(spark, sf_dir).items()}
+    # Like a loader's output it is spread over several files (the test inputs are one row group each).
+    parts = int(cpus) * 2
+    raw = {name: df.repartition(parts).checkpoint(eager=True) for name, df in fixtures.raw_tables(spark, sf_dir).items()}
 
     def facts_full():
         w = build.full_build(raw)

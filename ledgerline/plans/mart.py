@@ -16,7 +16,7 @@ from ledgerline.operators.incremental import (
     replace_days,
     restrict_to,
 )
-from ledgerline.operators.joins import bounded_broadcast
+from ledgerline.operators.joins import bounded_broadcast, fits
 from ledgerline.schemas import LOADED_AT, MODELS
 
 # Rates are days x currencies; broadcast only while the count is under this bound.
@@ -100,13 +100,14 @@ def convert_currency(
 
     Adds ``amount_usd`` and replaces ``loaded_at`` by the later of operation and rate.
     """
+    small = rates_rows <= RATES_BROADCAST_ROWS if rates_rows is not None else fits(rates, RATES_BROADCAST_ROWS)
     r = rates.select(
         F.col("rate_date").alias("_rate_date"),
         F.col("currency").alias("_rate_currency"),
         F.col("currency_units_per_usd").alias("_units_per_usd"),
         F.col(LOADED_AT).alias("_rate_loaded_at"),
     )
-    r = bounded_broadcast(r, RATES_BROADCAST_ROWS, rates_rows)
+    r = F.broadcast(r) if small else r
     joined = ops.join(
         r, (ops[date_col] == r["_rate_date"]) & (ops["currency"] == r["_rate_currency"]), "left"
     )
