@@ -48,7 +48,7 @@ def delete_insert(
     """
     keys = list(keys)
     batch_keys = bounded_broadcast(batch.select(*keys).distinct(), BATCH_KEYS_BROADCAST_ROWS, batch_rows)
-    kept = target.join(batch_keys, on=keys, how="left_anti")
+    kept = target.join(batch_keys, on=keys, how="left_anti").select(*target.columns)
     return kept.unionByName(batch)
 
 
@@ -79,4 +79,4 @@ def restrict_to(
     small = bounded_broadcast(
         dates.select(F.col(dates_col).alias(date_col)).distinct(), BATCH_KEYS_BROADCAST_ROWS, dates_rows
     )
-    return df.join(small, on=date_col, how="left_semi")
+    return df.join(small, on=date_col, how="left_semi").select(*df.columns)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -58,6 +59,34 @@ def checkpointed(name: str, df: DataFrame) -> Table:
     return table_from(obs_df.checkpoint(eager=True), obs)
 
 
+class Writer(Protocol):
+    """How ``advance`` stores what it computes."""
+
+    def scratch(self, name: str, df: DataFrame) -> Table: ...  # an intermediate batch
+
+    def replace(self, name: str, df: DataFrame) -> Table: ...  # first build of a model
+
+    def merge_keys(self, name: str, old: Table, batch: Table, keys) -> Table: ...  # delete+insert
+
+    def merge_days(self, name: str, old: Table, fresh: Table, date_col: str) -> Table: ...  # replace days
+
+
+class CheckpointWriter:
+    """Models kept as reliable checkpoints (no table storage); used by the registered queries."""
+
+    def scratch(self, name: str, df: DataFrame) -> Table:
+        return checkpointed(name, df)
+
+    def replace(self, name: str, df: DataFrame) -> Table:
+        return checkpointed(name, df)
+
+    def merge_keys(self, name: str, old: Table, batch: Table, keys) -> Table:
+        return checkpointed(name, delete_insert(old.df, batch.df, keys, batch.rows))
+
+    def merge_days(self, name: str, old: Table, fresh: Table, date_col: str) -> Table:
+        return checkpointed(name, replace_days(old.df, fresh.df, date_col, fresh.rows))
+
+
 @dataclass
 class Warehouse:
     staging: dict[str, DataFrame]
@@ -95,26 +124,56 @@ def full_build(raw: dict[str, DataFrame]) -> Warehouse:
     return Warehouse(stg, dims, facts, pm, mo)
 
 
-def advance(prev: Warehouse | None, raw: dict[str, DataFrame], materialize: Materialize = checkpointed) -> Warehouse:
-    """Apply the versions newer than each model's watermark; ``prev=None`` is the first build."""
-    out: dict[str, Table] = {}
+class _Recorded(dict):
+    """Model tables by name; ``after`` runs as soon as a model is final (the job's gates)."""
+
+    def __init__(self, after: Callable[[str, Table], None] | None):
+        super().__init__()
+        self.after = after
+
+    def __setitem__(self, name: str, table: Table) -> None:
+        super().__setitem__(name, table)
+        if self.after is not None and table is not None:
+            self.after(name, table)
+
+
+def advance(
+    prev: Warehouse | None,
+    raw: dict[str, DataFrame],
+    writer: Writer | None = None,
+    after: Callable[[str, Table], None] | None = None,
+) -> Warehouse:
+    """Apply the versions newer than each model's watermark; ``prev=None`` is the first build.
+
+    ``after(name, table)`` is called once per model right after it is final, before any
+    model that reads it is built; raising there stops the build (data-quality gates).
+    """
+    writer = writer or CheckpointWriter()
+    out: dict[str, Table] = _Recorded(after)
 
     def before(name: str) -> Table | None:
-        return prev.tables[name] if prev is not None else None
+        return prev.tables.get(name) if prev is not None else None
+
+    def wm(name: str) -> dt.datetime:
+        old = before(name)
+        return old.watermark if old is not None else SENTINEL
 
     def keyed(name: str, batch_df: DataFrame) -> Table:
         """delete+insert the batch by the model's key; an empty batch leaves the table as it is."""
         old = before(name)
         if old is None:
-            return materialize(name, batch_df)
-        batch = materialize(f"{name}__batch", batch_df)
+            return writer.replace(name, batch_df)
+        batch = writer.scratch(f"{name}__batch", batch_df)
         if batch.rows == 0:
             return old
-        return materialize(name, delete_insert(old.df, batch.df, MODELS[name].keys, batch.rows))
+        return writer.merge_keys(name, old, batch, MODELS[name].keys)
 
-    def wm(name: str) -> dt.datetime:
+    def by_day(name: str, fresh_df: DataFrame) -> Table:
         old = before(name)
-        return old.watermark if old is not None else SENTINEL
+        fresh = writer.scratch(f"{name}__batch", fresh_df)
+        if fresh.rows == 0:
+            return old
+        return writer.merge_days(name, old, fresh, "activity_date")
 
     for t in STAGING_TABLES:
         out[t] = keyed(t, staging.stage(newer_than(raw[t], wm(t)), t))
@@ -134,37 +193,27 @@ def advance(prev: Warehouse | None, raw: dict[str, DataFrame], materialize: Mate
     facts = {n: out[n].df for n in mart.FACTS}
     old_pm = before("player_metrics")
     if old_pm is None:
-        out["player_metrics"] = materialize("player_metrics", mart.player_metrics(facts))
+        out["player_metrics"] = writer.replace("player_metrics", mart.player_metrics(facts))
     else:
-        dates = materialize("player_metrics__dates", mart.affected_dates(facts, old_pm.watermark))
+        dates = writer.scratch("player_metrics__dates", mart.affected_dates(facts, old_pm.watermark))
         touched = {
             n: restrict_to(df, mart.FACTS[n].fact_date, dates.df, "activity_date", dates.rows) for n, df in facts.items()
         }
-        fresh = materialize("player_metrics__batch", mart.aggregate_player_day(mart.player_operations(touched)))
-        out["player_metrics"] = (
-            old_pm
-            if fresh.rows == 0
-            else materialize("player_metrics", replace_days(old_pm.df, fresh.df, "activity_date", fresh.rows))
-        )
+        out["player_metrics"] = by_day("player_metrics", mart.aggregate_player_day(mart.player_operations(touched)))
 
     pm, dim_player = out["player_metrics"], out["dim_player"]
     old_mo = before("metrics_overview")
     if old_mo is None:
-        out["metrics_overview"] = materialize("metrics_overview", report.metrics_overview(pm.df, dim_player.df, dim_player.rows))
+        out["metrics_overview"] = writer.replace(
+            "metrics_overview", report.metrics_overview(pm.df, dim_player.df, dim_player.rows)
+        )
     else:
-        dates = materialize(
+        dates = writer.scratch(
             "metrics_overview__dates", report.restated_dates(pm.df, dim_player.df, old_mo.watermark, dim_player.rows)
         )
-        fresh = materialize(
-            "metrics_overview__batch",
-            report.aggregate_segments(
-                restrict_to(pm.df, "activity_date", dates.df, "activity_date", dates.rows), dim_player.df, dim_player.rows
-            ),
-        )
-        out["metrics_overview"] = (
-            old_mo
-            if fresh.rows == 0
-            else materialize("metrics_overview", replace_days(old_mo.df, fresh.df, "activity_date", fresh.rows))
+        touched_pm = restrict_to(pm.df, "activity_date", dates.df, "activity_date", dates.rows)
+        out["metrics_overview"] = by_day(
+            "metrics_overview", report.aggregate_segments(touched_pm, dim_player.df, dim_player.rows)
         )
 
     return Warehouse(
@@ -173,5 +222,5 @@ def advance(prev: Warehouse | None, raw: dict[str, DataFrame], materialize: Mate
         facts=facts,
         player_metrics=out["player_metrics"].df,
         metrics_overview=out["metrics_overview"].df,
-        tables=out,
+        tables=dict(out),
     )
