@@ -4,7 +4,7 @@ Layout under ``root`` (any file system Spark can write, e.g. a shared bucket):
 
     raw/<table>/_batch=<load time>/_month=<business month>/   append-only version log
     <layer>/<model>/<partition>=<value>/                       models
-    _commits/<layer>.<model>/                                  one JSON row per commit
+    _commits/                                                  one JSON row per table commit
     _work/<run>/<name>/                                        batches of one run
 
 * Keyed models are partitioned by the month of an immutable business date (``_month``) or
@@ -28,11 +28,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators import quality
 from ledgerline.operators.incremental import delete_insert
 from ledgerline.plans.build import SENTINEL, Table, measured, table_from
 from ledgerline.schemas import LOADED_AT, MODELS, RAW_TABLES
 
 BUCKETS = 64  # partitions of undated keyed models (dimensions, small staging tables)
+# Keys enforced unique on write (a unique index in the source system): the batch is checked
+# before anything is written.
+ENFORCED_UNIQUE = {"players": ("player_id",), "dim_player": ("player_id",)}
 INTERNAL = ("_month", "_bucket", "_batch")
 
 
@@ -57,6 +61,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.run_id = run_id or uuid.uuid4().hex[:12]
+        self._log: dict[str, dict] | None = None  # latest commit per table, read once per store
 
     # --- paths -------------------------------------------------------------------
     def raw_path(self, table: str) -> str:
@@ -72,26 +77,38 @@ class TableStore:
         return f"{self.root}/_work/{self.run_id}/{name}"
 
     # --- commit records -----------------------------------------------------------
+    COMMIT_SCHEMA = "table_key STRING, version LONG, watermark TIMESTAMP, `rows` LONG, committed_at TIMESTAMP, run_id STRING"
+
     def last_commit(self, key: str) -> dict | None:
+        """Latest commit of a table; the whole commit log is read once per store (one small job)."""
+        if self._log is None:
+            self._log = self._read_log()
+        return self._log.get(key)
+
+    def _read_log(self) -> dict[str, dict]:
         try:
-            rows = self.spark.read.schema(
-                "version LONG, watermark TIMESTAMP, `rows` LONG, committed_at TIMESTAMP, run_id STRING"
-            ).json(self._commit_path(key))
-            last = rows.orderBy(F.col("version").desc()).limit(1).collect()
+            rows = self.spark.read.schema(self.COMMIT_SCHEMA).json(f"{self.root}/_commits").collect()
         except Exception as e:  # noqa: BLE001 - a missing folder means "never committed"
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
+                return {}
             raise
-        return last[0].asDict() if last else None
+        log: dict[str, dict] = {}
+        for r in rows:  # one row per commit of this warehouse: small, bounded by runs x tables
+            d = r.asDict()
+            if d["table_key"] not in log or d["version"] > log[d["table_key"]]["version"]:
+                log[d["table_key"]] = d
+        return log
 
     def _commit(self, key: str, watermark: dt.datetime, rows: int) -> None:
+        """Append one commit record (written after the data it describes)."""
         prev = self.last_commit(key)
         version = (prev["version"] + 1) if prev else 1
         record = self.spark.createDataFrame(
-            [(version, watermark, rows, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), self.run_id)],
-            "version LONG, watermark TIMESTAMP, `rows` LONG, committed_at TIMESTAMP, run_id STRING",
+            [(key, version, watermark, rows, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), self.run_id)],
+            self.COMMIT_SCHEMA,
         )
-        record.coalesce(1).write.mode("append").json(self._commit_path(key))
+        record.coalesce(1).write.mode("append").json(f"{self.root}/_commits")
+        self._log[key] = {"table_key": key, "version": version, "watermark": watermark, "rows": rows, "run_id": self.run_id}
 
     # --- raw version log ----------------------------------------------------------
     def read_raw(self, table: str, since: dt.datetime | None = None, from_date: dt.date | None = None) -> DataFrame | None:
@@ -123,7 +140,7 @@ class TableStore:
         month = _month_of_text(cfg.date_column) if cfg.date_column else F.lit(0)
         out = out.withColumn("_month", month)
         obs = Observation()
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", "_month")
         out.write.mode("append").partitionBy("_batch", "_month").parquet(self.raw_path(table))
         written = int(obs.get["rows"])
         total = (last["rows"] if last else 0) + written
@@ -165,10 +182,18 @@ class TableStore:
         obs_df.write.mode("overwrite").parquet(self.work_path(name))
         return table_from(self.spark.read.parquet(self.work_path(name)), obs)
 
+    def _enforce(self, name: str, batch: DataFrame) -> None:
+        if name in ENFORCED_UNIQUE:
+            quality.gate(f"unique_on_write:{name}", quality.duplicates(batch, ENFORCED_UNIQUE[name]))
+
     def replace(self, name: str, df: DataFrame) -> Table:
         """First build of a model: write it whole (the path is not read by this job)."""
         layout = MODELS[name]
+        if name in ENFORCED_UNIQUE:
+            df = self.scratch(f"{name}__full", df).df
+            self._enforce(name, df)
         obs_df, obs = measured(self._with_partition(name, df))
+        obs_df = obs_df.hint("rebalance", layout.partition_by)  # few files per partition; AQE splits a hot one
         obs_df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             layout.partition_by
         ).parquet(self.model_path(name))
@@ -180,6 +205,7 @@ class TableStore:
         """delete+insert restricted to the partitions of the batch rows."""
         layout = MODELS[name]
         part = layout.partition_by
+        self._enforce(name, batch.df)
         batch_df = self._with_partition(name, batch.df)
         touched = [r[0] for r in batch_df.select(part).distinct().collect()]  # months or buckets: bounded
         before = self._read_partitions(name, touched)
@@ -187,7 +213,7 @@ class TableStore:
         before = before.observe(obs_old, F.count(F.lit(1)).alias("rows"))
         merged = delete_insert(before, batch_df, keys, batch.rows)
         obs_new = Observation()
-        merged = merged.observe(obs_new, F.count(F.lit(1)).alias("rows"))
+        merged = merged.observe(obs_new, F.count(F.lit(1)).alias("rows")).hint("rebalance", part)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(
             self.model_path(name)
         )
@@ -199,7 +225,7 @@ class TableStore:
         """Replace every row of the days present in ``fresh``; other days are not touched."""
         days = [r[0] for r in fresh.df.select(date_col).distinct().collect()]  # days of one batch: bounded
         replaced = self._read_partitions(name, days).count()
-        fresh.df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(
+        fresh.df.hint("rebalance", date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(
             self.model_path(name)
         )
         self._commit_model(name, max(old.watermark, fresh.watermark), old.rows - replaced + fresh.rows)

@@ -209,3 +209,15 @@ def test_incremental_equals_full_on_random_splits(spark):
         a = state.table(name)
         b = full.table(name)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_unique_key_enforced_before_write(spark, tmp_path):
+    import pytest
+
+    from ledgerline.sources.store import TableStore
+
+    store = TableStore(spark, str(tmp_path / "wh"))
+    dup = spark.createDataFrame([(1, D1, "vip", "DE", T1), (1, D1, "vip", "FR", T1)], PLAYERS)
+    with pytest.raises(quality.DataQualityError):
+        store.replace("players", dup)
+    assert store.read_model("players") is None
