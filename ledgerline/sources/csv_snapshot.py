@@ -22,8 +22,8 @@ class SourceError(ValueError):
     pass
 
 
-def read_source(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Read a snapshot (file or folder of CSV files) as text columns plus ``ingest_seq``."""
+def read_source(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Read a snapshot (file, folder or list of CSV files) as text columns plus ``ingest_seq``."""
     df = (
         spark.read.option("header", True)
         .option("inferSchema", False)
@@ -40,12 +40,18 @@ def read_source(spark: SparkSession, path: str, columns: Sequence[str] | None =
         extra = [c for c in df.columns if c not in columns]
         if extra:
             raise SourceError(f"CSV source {path} has unknown columns {extra}")
+    cols = list(columns) if columns is not None else df.columns
+    return with_ingest_seq(df, cols)
+
+
+def with_ingest_seq(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``ingest_seq``: the file's rank among the inputs (by path) in the high bits, the
+    row's position inside its (whole-file) task in the low bits."""
     files = sorted(df.inputFiles())
-    if len(files) == 1:
+    if len(files) <= 1:
         file_rank = F.lit(0).cast("long")
     else:
         ranks = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i).cast("long"))])
-        file_rank = ranks[F.input_file_name()]
+        file_rank = ranks[F.col("_metadata.file_path")]
     seq = F.shiftleft(file_rank, FILE_SHIFT).bitwiseOR(F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_MASK)))
-    cols = list(columns) if columns is not None else df.columns
-    return df.select(*cols, seq.alias(INGEST_SEQ))
+    return df.select(*columns, seq.alias(INGEST_SEQ))
