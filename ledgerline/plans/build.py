@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -29,11 +30,16 @@ SENTINEL = dt.datetime(1900, 1, 1)
 
 @dataclass
 class Table:
-    """A written model: its data, ``coalesce(max(loaded_at), sentinel)`` and its row count."""
+    """A model: its data, ``coalesce(max(loaded_at), sentinel)`` and its row count.
+
+    ``rows`` is exact for a written table and an upper bound after a lazy merge (``depth`` > 0
+    counts the merges since it was last written); bounds only feed broadcast decisions.
+    """
 
     df: DataFrame
     watermark: dt.datetime
     rows: int
+    depth: int = 0
 
 
 Materialize = Callable[[str, DataFrame], Table]
@@ -72,7 +78,16 @@ class Writer(Protocol):
 
 
 class CheckpointWriter:
-    """Models kept as reliable checkpoints (no table storage); used by the registered queries."""
+    """Models kept as reliable checkpoints (no table storage); used by the registered queries.
+
+    A merge of a checkpointed table with a checkpointed batch stays lazy (anti join + union,
+    no job) until ``max_lazy`` merges are stacked; then it is checkpointed, which cuts the
+    lineage. Every batch row is newer than the old watermark, so the merged watermark is the
+    batch's, exactly; the row count becomes an upper bound.
+    """
+
+    def __init__(self, max_lazy: int = 2):
+        self.max_lazy = max_lazy
 
     def scratch(self, name: str, df: DataFrame) -> Table:
         return checkpointed(name, df)
@@ -80,11 +95,16 @@ class CheckpointWriter:
     def replace(self, name: str, df: DataFrame) -> Table:
         return checkpointed(name, df)
 
+    def _merged(self, name: str, old: Table, batch: Table, df: DataFrame) -> Table:
+        if old.depth + 1 > self.max_lazy:
+            return checkpointed(name, df)
+        return Table(df, max(old.watermark, batch.watermark), old.rows + batch.rows, old.depth + 1)
+
     def merge_keys(self, name: str, old: Table, batch: Table, keys) -> Table:
-        return checkpointed(name, delete_insert(old.df, batch.df, keys, batch.rows))
+        return self._merged(name, old, batch, delete_insert(old.df, batch.df, keys, batch.rows))
 
     def merge_days(self, name: str, old: Table, fresh: Table, date_col: str) -> Table:
-        return checkpointed(name, replace_days(old.df, fresh.df, date_col, fresh.rows))
+        return self._merged(name, old, fresh, replace_days(old.df, fresh.df, date_col, fresh.rows))
 
 
 @dataclass
@@ -137,16 +157,41 @@ class _Recorded(dict):
             self.after(name, table)
 
 
+# Independent models are built concurrently, like the source job's parallel branches and
+# build threads; each model is itself a distributed job, the pool only overlaps them.
+BUILD_THREADS = 4
+
+
+def _wave(out: dict, builders: dict[str, Callable[[], Table]], threads: int) -> None:
+    """Build independent models concurrently; the first failure is raised after the wave."""
+    if threads <= 1 or len(builders) == 1:
+        for name, fn in builders.items():
+            out[name] = fn()
+        return
+    with ThreadPoolExecutor(max_workers=min(threads, len(builders))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in builders.items()}
+        errors = []
+        for name, fut in futures.items():
+            try:
+                out[name] = fut.result()
+            except Exception as e:  # noqa: BLE001 - re-raised below, after the wave settles
+                errors.append(e)
+        if errors:
+            raise errors[0]
+
+
 def advance(
     prev: Warehouse | None,
     raw: dict[str, DataFrame],
     writer: Writer | None = None,
     after: Callable[[str, Table], None] | None = None,
+    threads: int = BUILD_THREADS,
 ) -> Warehouse:
     """Apply the versions newer than each model's watermark; ``prev=None`` is the first build.
 
-    ``after(name, table)`` is called once per model right after it is final, before any
-    model that reads it is built; raising there stops the build (data-quality gates).
+    Models are built in dependency waves (staging; dimensions and facts; player metrics;
+    report). ``after(name, table)`` is called once per model right after it is final, before
+    any model that reads it is built; raising there stops the build (data-quality gates).
     """
     writer = writer or CheckpointWriter()
     out: dict[str, Table] = _Recorded(after)
@@ -175,20 +220,30 @@ def advance(
             return old
         return writer.merge_days(name, old, fresh, "activity_date")
 
-    for t in STAGING_TABLES:
-        out[t] = keyed(t, staging.stage(newer_than(raw[t], wm(t)), t))
-    for d, (src, _) in mart.DIMENSIONS.items():
-        out[d] = keyed(d, mart.dimension(newer_than(out[src].df, wm(d)), d))
-
-    rates = out["currency_rates"]
-    for name, spec in mart.FACTS.items():
-        ops = out[spec.staging].df
-        if before(name) is None:
-            batch_df = mart.fact(ops, rates.df, name, rates.rows)
-        else:
-            cand = mart.fact_candidates(ops, rates.df, wm(name), spec.op_date, rates.rows)
-            batch_df = mart.fact(cand, rates.df, name, rates.rows)
-        out[name] = keyed(name, batch_df)
+    def stage_model(t: str) -> Callable[[], Table]:
+        return lambda: keyed(t, staging.stage(newer_than(raw[t], wm(t)), t))
+
+    def dim_model(d: str, src: str) -> Callable[[], Table]:
+        return lambda: keyed(d, mart.dimension(newer_than(out[src].df, wm(d)), d))
+
+    def fact_model(name: str) -> Callable[[], Table]:
+        spec = mart.FACTS[name]
+
+        def run() -> Table:
+            rates, ops = out["currency_rates"], out[spec.staging].df
+            if before(name) is None:
+                batch_df = mart.fact(ops, rates.df, name, rates.rows)
+            else:
+                cand = mart.fact_candidates(ops, rates.df, wm(name), spec.op_date, rates.rows)
+                batch_df = mart.fact(cand, rates.df, name, rates.rows)
+            return keyed(name, batch_df)
+
+        return run
+
+    _wave(out, {t: stage_model(t) for t in STAGING_TABLES}, threads)
+    second = {d: dim_model(d, src) for d, (src, _) in mart.DIMENSIONS.items()}
+    second.update({name: fact_model(name) for name in mart.FACTS})
+    _wave(out, second, threads)
 
     facts = {n: out[n].df for n in mart.FACTS}
     old_pm = before("player_metrics")
