@@ -4,7 +4,7 @@ Layout under ``root`` (any file system Spark can write, e.g. a shared bucket):
 
     raw/<table>/_batch=<load time>/_month=<business month>/   append-only version log
     <layer>/<model>/<partition>=<value>/                       models
-    _commits/                                                  one JSON row per table commit
+    _commits/<table>/<version>-<run>/                          one JSON row per table commit
     _work/<run>/<name>/                                        batches of one run
 
 * Keyed models are partitioned by the month of an immutable business date (``_month``) or
@@ -56,6 +56,15 @@ def _month_of_text(c: str):
     )
 
 
+def _observed_rows(obs: Observation) -> int:
+    """Row count of an observed sub-plan; AQE prunes a sub-plan it found empty together with its
+    metrics, so missing metrics mean zero rows."""
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001
+        return 0
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
         self.spark = spark
@@ -87,7 +96,12 @@ class TableStore:
 
     def _read_log(self) -> dict[str, dict]:
         try:
-            rows = self.spark.read.schema(self.COMMIT_SCHEMA).json(f"{self.root}/_commits").collect()
+            rows = (
+                self.spark.read.schema(self.COMMIT_SCHEMA)
+                .option("recursiveFileLookup", True)
+                .json(f"{self.root}/_commits")
+                .collect()
+            )
         except Exception as e:  # noqa: BLE001 - a missing folder means "never committed"
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 return {}
@@ -107,7 +121,8 @@ class TableStore:
             [(key, version, watermark, rows, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), self.run_id)],
             self.COMMIT_SCHEMA,
         )
-        record.coalesce(1).write.mode("append").json(f"{self.root}/_commits")
+        # one folder per record: concurrent commits of independent models never share an output folder
+        record.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_commits/{key}/{version:08d}-{self.run_id}")
         self._log[key] = {"table_key": key, "version": version, "watermark": watermark, "rows": rows, "run_id": self.run_id}
 
     # --- raw version log ----------------------------------------------------------
@@ -140,7 +155,7 @@ class TableStore:
         month = _month_of_text(cfg.date_column) if cfg.date_column else F.lit(0)
         out = out.withColumn("_month", month)
         obs = Observation()
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", "_month")
+        out = out.hint("rebalance", "_month").observe(obs, F.count(F.lit(1)).alias("rows"))
         out.write.mode("append").partitionBy("_batch", "_month").parquet(self.raw_path(table))
         written = int(obs.get["rows"])
         total = (last["rows"] if last else 0) + written
@@ -192,8 +207,9 @@ class TableStore:
         if name in ENFORCED_UNIQUE:
             df = self.scratch(f"{name}__full", df).df
             self._enforce(name, df)
-        obs_df, obs = measured(self._with_partition(name, df))
-        obs_df = obs_df.hint("rebalance", layout.partition_by)  # few files per partition; AQE splits a hot one
+        # few files per partition, AQE splits a hot one; observe sits above the rebalance so an
+        # empty input still reports its metrics
+        obs_df, obs = measured(self._with_partition(name, df).hint("rebalance", layout.partition_by))
         obs_df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             layout.partition_by
         ).parquet(self.model_path(name))
@@ -213,11 +229,11 @@ class TableStore:
         before = before.observe(obs_old, F.count(F.lit(1)).alias("rows"))
         merged = delete_insert(before, batch_df, keys, batch.rows)
         obs_new = Observation()
-        merged = merged.observe(obs_new, F.count(F.lit(1)).alias("rows")).hint("rebalance", part)
+        merged = merged.hint("rebalance", part).observe(obs_new, F.count(F.lit(1)).alias("rows"))
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(
             self.model_path(name)
         )
-        rows = old.rows - int(obs_old.get["rows"]) + int(obs_new.get["rows"])
+        rows = old.rows - _observed_rows(obs_old) + int(obs_new.get["rows"])
         self._commit_model(name, max(old.watermark, batch.watermark), rows)
         return self.read_model(name)
 
