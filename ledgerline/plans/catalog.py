@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions import reportable
-from ledgerline.plans import build
+from ledgerline.functions import as_amount, as_bigint, as_date, code, reportable
+from ledgerline.operators import changes, incremental, quality
+from ledgerline.operators.versions import latest_version
+from ledgerline.plans import build, checks, mart, reports
+from ledgerline.plans.report import restated_dates
+from ledgerline.schemas import INGEST_SEQ, LOADED_AT, MODELS
 from ledgerline.session import ensure_session
 from ledgerline.sources import fixtures
 
@@ -164,11 +168,6 @@ def names() -> list[str]:
 
 # --- sources and scalar functions ---------------------------------------------
 
-from ledgerline.functions import as_amount, as_bigint, as_date, code  # noqa: E402
-from ledgerline.operators import changes, incremental, quality  # noqa: E402
-from ledgerline.operators.versions import latest_version  # noqa: E402
-from ledgerline.plans import checks, mart, reports  # noqa: E402
-from ledgerline.schemas import INGEST_SEQ, LOADED_AT, MODELS  # noqa: E402
 
 GAPPY = fixtures.Variant(gappy_rates=True)
 ZERO = fixtures.Variant(zero_rates=True)
@@ -393,8 +392,6 @@ def q_affected_dates_by_dimension(spark, sf_dir):
     """Dates metrics_overview restates in batch 2: new metrics, plus all days of moved players."""
     w = first_batch(spark, sf_dir).tables["metrics_overview"].watermark
     w2 = two_batches(spark, sf_dir)
-    from ledgerline.plans.report import restated_dates
-
     return restated_dates(w2.player_metrics, w2.dims["dim_player"], w)
 
 

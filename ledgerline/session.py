@@ -18,6 +18,10 @@ _REQUIRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # day tables are replaced partition by partition, never the whole table
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # No broadcast from size *estimates*: the library broadcasts explicitly behind a proven row
+    # bound; at runtime AQE may still switch a join to broadcast from *measured* stage sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
