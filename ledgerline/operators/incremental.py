@@ -80,3 +80,25 @@ def restrict_to(
         dates.select(F.col(dates_col).alias(date_col)).distinct(), BATCH_KEYS_BROADCAST_ROWS, dates_rows
     )
     return df.join(small, on=date_col, how="left_semi").select(*df.columns)
+
+
+MONTH_PARTITION = "_month"  # yyyyMM partition column of stored dated tables
+
+
+def months_of(dates: DataFrame, date_col: str) -> list:
+    """Distinct yyyyMM of a small date set (bounded by the calendar months it spans)."""
+    month = F.date_format(F.col(date_col), "yyyyMM").cast("int")
+    return [r[0] for r in dates.select(month.alias("m")).distinct().collect()]
+
+
+def prune_months(df: DataFrame, months: list) -> DataFrame:
+    """On a stored table partitioned by month, read only ``months`` (directory pruning);
+    a no-op for tables without the partition column."""
+    if MONTH_PARTITION not in df.columns:
+        return df
+    col = F.col(MONTH_PARTITION)
+    known = [m for m in months if m is not None]
+    cond = col.isin(known) if known else F.lit(False)
+    if len(known) < len(months):
+        cond = cond | col.isNull()
+    return df.filter(cond)

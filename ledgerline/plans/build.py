@@ -19,7 +19,15 @@ from typing import Protocol
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerline.operators.incremental import delete_insert, newer_than, replace_days, restrict_to
+from ledgerline.operators.incremental import (
+    MONTH_PARTITION,
+    delete_insert,
+    months_of,
+    newer_than,
+    prune_months,
+    replace_days,
+    restrict_to,
+)
 from ledgerline.plans import mart, report, staging
 from ledgerline.schemas import LOADED_AT, MODELS
 from ledgerline.session import checkpoint_dir
@@ -251,8 +259,10 @@ def advance(
         out["player_metrics"] = writer.replace("player_metrics", mart.player_metrics(facts))
     else:
         dates = writer.scratch("player_metrics__dates", mart.affected_dates(facts, old_pm.watermark))
+        months = months_of(dates.df, "activity_date") if any(MONTH_PARTITION in df.columns for df in facts.values()) else []
         touched = {
-            n: restrict_to(df, mart.FACTS[n].fact_date, dates.df, "activity_date", dates.rows) for n, df in facts.items()
+            n: restrict_to(prune_months(df, months), mart.FACTS[n].fact_date, dates.df, "activity_date", dates.rows)
+            for n, df in facts.items()
         }
         out["player_metrics"] = by_day("player_metrics", mart.aggregate_player_day(mart.player_operations(touched)))
 

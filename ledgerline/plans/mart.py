@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import freshest, to_usd, zero_usd
 from ledgerline.operators.incremental import (
+    MONTH_PARTITION,
     dates_touched,
+    months_of,
+    prune_months,
     delete_insert,
     high_water_mark,
     newer_than,
@@ -137,8 +140,11 @@ def fact_candidates(
         F.col("rate_date").alias(date_col), F.col("currency")
     )
     old_ops = ops.filter(F.col(LOADED_AT) <= F.lit(watermark).cast("timestamp"))
+    if MONTH_PARTITION in ops.columns:
+        # stored operations: read only the months whose rates changed
+        old_ops = prune_months(old_ops, months_of(new_rates, date_col))
     new_rates = bounded_broadcast(new_rates.distinct(), RATES_BROADCAST_ROWS, rates_rows)
-    repriced = old_ops.join(new_rates, [date_col, "currency"], "left_semi")
+    repriced = old_ops.join(new_rates, [date_col, "currency"], "left_semi").select(*ops.columns)
     return new_ops.unionByName(repriced)
 
 

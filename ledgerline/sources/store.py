@@ -176,7 +176,8 @@ class TableStore:
         if c is None:
             return None
         df = self.spark.read.parquet(self.model_path(name))
-        df = df.drop(*[x for x in INTERNAL if x in df.columns])
+        # ``_month`` stays visible so readers can prune months; buckets and batches are dropped
+        df = df.drop(*[x for x in INTERNAL if x in df.columns and x != "_month"])
         return Table(df, c["watermark"] or SENTINEL, int(c["rows"]))
 
     def _read_partitions(self, name: str, values: list) -> DataFrame:

@@ -76,3 +76,19 @@ def test_delete_insert_touches_only_batch_partitions(spark, tmp_path):
     merged = store.merge_keys("deposits", first, batch, ["deposit_id"])
     assert merged.rows == stg.count() == merged.df.count()
     assert merged.df.filter(F.col("deposit_date") < F.lit("1999-01-01").cast("date")).count() == n_old
+
+
+def test_stored_facts_prune_to_affected_months(spark, tmp_path):
+    from ledgerline.operators.incremental import months_of, prune_months
+
+    raw = fixtures.raw_tables(spark, SF_SMALL)
+    store = TableStore(spark, str(tmp_path / "wh"))
+    fact = store.replace("fact_deposit", build.full_build(raw).facts["fact_deposit"])
+    dates = spark.createDataFrame([(dt.date(1998, 1, 5),), (dt.date(1998, 3, 9),)], "activity_date DATE")
+    months = months_of(dates, "activity_date")
+    pruned = prune_months(fact.df, months)
+    p = plan(pruned)
+    assert sorted(months) == [199801, 199803]
+    assert "PartitionFilters" in p and "_month" in p
+    got = {r[0] for r in pruned.select(F.date_format("deposit_date", "yyyyMM")).distinct().collect()}
+    assert got <= {"199801", "199803"}
