@@ -59,7 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # local runs and tests only: the cluster names a shared folder
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: the cluster must name a shared checkpoint folder")
+        # local runs and tests only (one machine); a cluster always names a shared folder
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
