@@ -102,3 +102,18 @@ def prune_months(df: DataFrame, months: list) -> DataFrame:
     if len(known) < len(months):
         cond = cond | col.isNull()
     return df.filter(cond)
+
+
+DAY_LIST_ROWS = 20_000  # a day list this long (55 years) still makes a cheap literal filter
+
+
+def prune_days(df: DataFrame, date_col: str, dates: DataFrame, dates_rows: int) -> DataFrame:
+    """Filter a day-partitioned table to a small day set as literals (static partition pruning).
+
+    A semi join alone does not prune directories here (no selective predicate for dynamic
+    pruning). Above ``DAY_LIST_ROWS`` days the semi join alone restricts the rows.
+    """
+    if dates_rows > DAY_LIST_ROWS:
+        return df
+    days = [r[0] for r in dates.select(date_col).distinct().collect()]
+    return df.filter(F.col(date_col).isin(days)) if days else df.limit(0)

@@ -24,6 +24,7 @@ from ledgerline.operators.incremental import (
     delete_insert,
     months_of,
     newer_than,
+    prune_days,
     prune_months,
     replace_days,
     restrict_to,
@@ -276,7 +277,8 @@ def advance(
         dates = writer.scratch(
             "metrics_overview__dates", report.restated_dates(pm.df, dim_player.df, old_mo.watermark, dim_player.rows)
         )
-        touched_pm = restrict_to(pm.df, "activity_date", dates.df, "activity_date", dates.rows)
+        pm_days = prune_days(pm.df, "activity_date", dates.df, dates.rows)
+        touched_pm = restrict_to(pm_days, "activity_date", dates.df, "activity_date", dates.rows)
         out["metrics_overview"] = by_day(
             "metrics_overview", report.aggregate_segments(touched_pm, dim_player.df, dim_player.rows)
         )

@@ -92,3 +92,15 @@ def test_stored_facts_prune_to_affected_months(spark, tmp_path):
     assert "PartitionFilters" in p and "_month" in p
     got = {r[0] for r in pruned.select(F.date_format("deposit_date", "yyyyMM")).distinct().collect()}
     assert got <= {"199801", "199803"}
+
+
+def test_report_increment_prunes_metric_days(spark, tmp_path):
+    from ledgerline.operators.incremental import prune_days
+
+    raw = fixtures.raw_tables(spark, SF_SMALL)
+    store = TableStore(spark, str(tmp_path / "wh"))
+    pm = store.replace("player_metrics", build.full_build(raw).player_metrics)
+    dates = store.scratch("dates", spark.createDataFrame([(dt.date(1998, 1, 5),)], "activity_date DATE"))
+    p = plan(prune_days(pm.df, "activity_date", dates.df, dates.rows))
+    line = [x for x in p.splitlines() if "PartitionFilters" in x][0]
+    assert "1998-01-05" in line
