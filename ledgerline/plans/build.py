@@ -77,6 +77,8 @@ def checkpointed(name: str, df: DataFrame) -> Table:
 class Writer(Protocol):
     """How ``advance`` stores what it computes."""
 
+    partitioned: bool  # tables are partitioned directories (literal partition filters prune them)
+
     def scratch(self, name: str, df: DataFrame) -> Table: ...  # an intermediate batch
 
     def replace(self, name: str, df: DataFrame) -> Table: ...  # first build of a model
@@ -95,6 +97,8 @@ class CheckpointWriter:
     batch's, exactly; the row count becomes an upper bound.
     """
 
+    partitioned = False
+
     def __init__(self, max_lazy: int = 2):
         self.max_lazy = max_lazy
 
@@ -277,7 +281,8 @@ def advance(
         dates = writer.scratch(
             "metrics_overview__dates", report.restated_dates(pm.df, dim_player.df, old_mo.watermark, dim_player.rows)
         )
-        pm_days = prune_days(pm.df, "activity_date", dates.df, dates.rows)
+        # a stored day-partitioned table reads only the restated days; checkpoints have no directories
+        pm_days = prune_days(pm.df, "activity_date", dates.df, dates.rows) if getattr(writer, "partitioned", False) else pm.df
         touched_pm = restrict_to(pm_days, "activity_date", dates.df, "activity_date", dates.rows)
         out["metrics_overview"] = by_day(
             "metrics_overview", report.aggregate_segments(touched_pm, dim_player.df, dim_player.rows)

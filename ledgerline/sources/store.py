@@ -66,6 +66,8 @@ def _observed_rows(obs: Observation) -> int:
 
 
 class TableStore:
+    partitioned = True  # models are partitioned directories
+
     def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
