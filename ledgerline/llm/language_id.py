@@ -234,11 +234,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def draw(rows: DataFrame, by: str, most: int) -> DataFrame:
-    """About ``most`` rows of each value of ``by`` (all, where there are fewer), drawn by a hash of the row."""
-    counts = rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_count"))
+    """About ``most`` rows of each value of ``by`` (all, where there are fewer), drawn by a hash of the row. The counts
+    are one number a language, of which the models hold far more."""
+    counts = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return rows
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    joined = rows.join(counts, F.col(by) == F.col("_by"))
-    return joined.filter(chance * F.col("_count") < most).select(*rows.columns)
+    total = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    return rows.filter(chance * total[F.col(by)] < most)
 
 
 def fit(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE) -> Identifier:
