@@ -196,28 +196,43 @@ def _met_before(earlier: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     return member[left] @ member[right].T > 0
 
 
-def _sides(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    a, b = rows["a"].iloc[0], rows["b"].iloc[0]
-    block = rows["block"].to_numpy()
-    return np.flatnonzero(block == a), np.flatnonzero(block == b)
+CANDIDATES = "bucket long, a int, b int, block int, key binary, earlier array<long>"
 
 
-CANDIDATES = "bucket long, a int, b int, block int, key binary, earlier array<long>"
+def in_tasks(rows: DataFrame, total: int, each: int):
+    """``rows`` (of ``bucket, a, b``) grouped so that a group holds many block pairs, about ``each`` rows: whole block
+    pairs, dealt by hash."""
+    group = F.pmod(F.xxhash64("bucket", "a", "b"), F.lit(max(1, math.ceil(total / each))))
+    return rows.withColumn("task", group).groupBy("task")
+
+
+def _block_pairs(rows: pd.DataFrame):
+    """The places of each block pair's rows: all, of its first block, and of its second."""
+    pair = rows[["bucket", "a", "b"]].to_numpy()
+    order = np.lexsort(pair.T)
+    pair = pair[order]
+    cuts = np.flatnonzero((pair[1:] != pair[:-1]).any(axis=1)) + 1
+    block, firsts, seconds = (rows[c].to_numpy() for c in ("block", "a", "b"))
+    for own in np.split(order, cuts):
+        if len(own) > 1:
+            yield own, np.flatnonzero(block[own] == firsts[own[0]]), np.flatnonzero(block[own] == seconds[own[0]])
 
 
 def _candidates(limit: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        left, right = _sides(rows)
-        sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), COORDINATES)
-        close = np.empty((len(left), len(right)), bool)
-        for i, own in enumerate(left):
-            close[i] = (sketch[right] == sketch[own]).sum(axis=1, dtype=np.uint8) >= limit
-        close &= left[:, None] != right[None, :]
-        if close.any():
-            close &= ~_met_before(list(rows["earlier"]), left, right)
+        sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), COORDINATES)
+        earlier = rows["earlier"].to_numpy()
         active = np.zeros(len(rows), bool)
-        active[left[close.any(axis=1)]] = True
-        active[right[close.any(axis=0)]] = True
+        for own, left, right in _block_pairs(rows):
+            sketch = sketches[own]
+            close = np.empty((len(left), len(right)), bool)
+            for i, place in enumerate(left):
+                close[i] = (sketch[right] == sketch[place]).sum(axis=1, dtype=np.uint8) >= limit
+            close &= left[:, None] != right[None, :]
+            if close.any():
+                close &= ~_met_before(list(earlier[own]), left, right)
+                active[own[left[close.any(axis=1)]]] = True
+                active[own[right[close.any(axis=0)]]] = True
         return rows.loc[active, ["bucket", "a", "b", "block", "key", "earlier"]]
 
     return run
@@ -245,25 +260,26 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresho
 
 def _linked(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("key").reset_index(drop=True)
-        left, right = _sides(rows)
-        sets = [np.frombuffer(s, np.uint64) for s in rows["members"]]
-        linked = np.zeros((len(rows), len(rows)), bool)
-        found = similar(sets, left, right, threshold) & (left[:, None] != right[None, :])
-        if found.any():
-            found &= ~_met_before(list(rows["earlier"]), left, right)
-        linked[np.ix_(left, right)] = found
-        linked |= linked.T
-        root = np.arange(len(rows))
-        while True:  # the smallest row that each can reach
-            step = np.minimum(root, np.where(linked, root[None, :], len(rows)).min(axis=1))
-            if (step == root).all():
-                break
-            root = step
-        links = linked.sum(axis=1)
-        has = links > 0
-        keys = rows["key"].to_numpy()
-        return pd.DataFrame({"key": keys[has], "links": links[has].astype(np.int64), "root": keys[root][has]})
+        rows = rows.drop_duplicates(["bucket", "a", "b", "key"]).reset_index(drop=True)
+        members, earlier, keys = (rows[c].to_numpy() for c in ("members", "earlier", "key"))
+        out: list[tuple[bytes, int, bytes]] = []
+        for own, left, right in _block_pairs(rows):
+            sets = [np.frombuffer(s, np.uint64) for s in members[own]]
+            found = similar(sets, left, right, threshold) & (left[:, None] != right[None, :])
+            if found.any():
+                found &= ~_met_before(list(earlier[own]), left, right)
+            linked = np.zeros((len(own), len(own)), bool)
+            linked[np.ix_(left, right)] = found
+            linked |= linked.T
+            root = np.arange(len(own))
+            while True:  # the smallest row that each can reach
+                step = np.minimum(root, np.where(linked, root[None, :], len(own)).min(axis=1))
+                if (step == root).all():
+                    break
+                root = step
+            links = linked.sum(axis=1)
+            out += [(keys[own[i]], int(links[i]), keys[own[root[i]]]) for i in np.flatnonzero(links)]
+        return pd.DataFrame(out, columns=["key", "links", "root"])
 
     return run
 
@@ -327,11 +343,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     nodes = buckets(classes, runs_needed(LEVELS, recall), LEVELS)
     error = math.sqrt(threshold * (1 - threshold) / COORDINATES)
     limit = math.floor(COORDINATES * (threshold - SLACK * error))
-    group = ["bucket", "a", "b"]
-    near = save(in_blocks(nodes, classes).groupBy(*group).applyInPandas(_candidates(limit), CANDIDATES), "candidates")
+    blocks = in_tasks(in_blocks(nodes, classes), nodes.count(), 5000)
+    near = save(blocks.applyInPandas(_candidates(limit), CANDIDATES), "candidates")
     wanted = near.select("key").distinct().join(classes.select("key", "doc_id"), "key")
-    compared = near.join(exact_sets(docs, wanted), "key")
-    links = save(compared.groupBy(*group).applyInPandas(_linked(threshold), "key binary, links long, root binary"), "links")
+    compared = in_tasks(near.join(exact_sets(docs, wanted), "key"), near.count(), 1000)
+    links = save(compared.applyInPandas(_linked(threshold), "key binary, links long, root binary"), "links")
     member = components(links)
     counted = links.groupBy("key").agg(F.sum("links").alias("n_links"))
     linked = member.join(counted, "key").join(classes.select("key", F.col("doc_id").alias("rep")), "key")
