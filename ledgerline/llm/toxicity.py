@@ -59,20 +59,21 @@ class Classifier:
     weights: np.ndarray
     intercept: float
 
+    def __getstate__(self):
+        return {"weights": self.weights, "intercept": self.intercept}
+
+    def _weighty(self, word: str) -> tuple[int, ...]:
+        found = word_features(word)
+        return tuple(found[self.weights[found] != 0].tolist())
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        present = np.zeros(1 << BITS)
+        if not hasattr(self, "words"):
+            self.words = Memo(self._weighty, 300_000)
         margin = np.full(len(texts), self.intercept)
         for i, text in enumerate(texts):
             words = set(text.lower().split()) if text else ()
-            if words:
-                found = np.concatenate([_WORDS[w] for w in words])
-                if len(found) < 20_000:
-                    found = np.unique(found)
-                    margin[i] += self.weights[found].sum()
-                else:
-                    present[found] = self.weights[found]
-                    margin[i] += present.sum()
-                    present[found] = 0
+            found = set().union(*map(self.words.__getitem__, words))
+            margin[i] += self.weights[list(found)].sum() if found else 0.0
         return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
 
 
