@@ -39,7 +39,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; personal data in their texts gets surrogates."""
     ship(spark)
-    return surrogates.pseudonymise(docs).drop("_swaps")
+    return surrogates.pseudonymise(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,13 +23,12 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Memo, list_array, pieces, save
 
-#: 1 marks a position that counts. A stretch of MIN_WORDS words with one substitution, or two that
-#: are not both central, holds a window of one of these.
+#: 1 marks a position that counts.
 MASKS = ("11111111", "1101100111", "1110011011", "1010111101")
 MIN_WORDS = 13
 MISMATCH_COST = 3.0
@@ -223,9 +222,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all their columns, that overlap with no item."""
-    flagged = overlaps(docs, benchmark).select(F.col("uid").alias("_flagged_uid")).distinct()
-    return docs.join(flagged, F.xxhash64("doc_id", "text") == F.col("_flagged_uid"), "left_anti")
-
-
-def load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    flagged = overlaps(docs, benchmark).select("uid").distinct()
+    on = F.xxhash64("d.doc_id", "d.text") == F.col("flagged.uid")
+    return docs.alias("d").join(flagged.alias("flagged"), on, "left_anti")

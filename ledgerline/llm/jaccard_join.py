@@ -376,11 +376,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = save(chosen.unionByName(found.filter("component is null").select("uid")).distinct(), "kept")
     again = found.filter("component is not null").groupBy("uid").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     again = save(again.join(kept, "uid").select("uid"), "repeated")
-    uid = F.xxhash64("doc_id", "text")
-    stays = docs.join(kept.select(F.col("uid").alias("_kept")), uid == F.col("_kept"), "left_semi")
+    def rows_of(frame: DataFrame, uids: DataFrame, how: str) -> DataFrame:
+        on = F.xxhash64("d.doc_id", "d.text") == F.col("other.uid")
+        return frame.alias("d").join(uids.alias("other"), on, how)
+
+    stays = rows_of(docs, kept, "left_semi")
     if again.isEmpty():
         return stays
-    twice = again.select(F.col("uid").alias("_again"))
-    return stays.join(twice, uid == F.col("_again"), "left_anti").unionByName(
-        stays.join(twice, uid == F.col("_again"), "left_semi").dropDuplicates(["doc_id", "text"])
-    )
+    twice = rows_of(stays, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return rows_of(stays, again, "left_anti").unionByName(twice)

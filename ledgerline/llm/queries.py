@@ -70,8 +70,8 @@ def warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with surrogates for its personal data."""
-    done = surrogates.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "text", F.coalesce(F.size("_swaps"), F.lit(0)).alias("n_entities"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, count_as="n_entities")
 
 
 def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,13 +291,19 @@ def rewrite(text: Column, swaps: Column) -> Column:
     return F.array_join(F.zip_with(pieces, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """All columns of ``docs`` with the personal data in ``text`` replaced, and ``_swaps``: what was replaced."""
-    swaps = save(replacements(docs, key), "swaps").select(F.col("uid").alias("_uid"), F.col("swaps").alias("_swaps"))
-    joined = docs.alias("d").join(swaps, _uid() == F.col("_uid"), "left")
-    text = F.when(F.col("_swaps").isNull(), F.col("d.text")).otherwise(rewrite(F.col("d.text"), F.col("_swaps")))
-    out = joined.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns], "_swaps")
+def pseudonymise(docs: DataFrame, key: str = KEY, count_as: str | None = None) -> DataFrame:
+    """All columns of ``docs`` with the personal data in ``text`` replaced; ``count_as`` names a further column, the
+    number of different entities of a row."""
+    found = save(replacements(docs, key), "swaps")
+    swaps = F.col("found.swaps")
+    on = F.xxhash64("d.doc_id", "d.text") == F.col("found.uid")
+    joined = docs.alias("d").join(found.alias("found"), on, "left")
+    text = F.when(swaps.isNull(), F.col("d.text")).otherwise(rewrite(F.col("d.text"), swaps))
+    new = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_swaps").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return out
+        new["n_chars"] = F.when(swaps.isNull(), F.col("d.n_chars")).otherwise(F.length(text).cast(kind))
+    columns = [new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns]
+    if count_as:
+        columns.append(F.coalesce(F.size(swaps), F.lit(0)).alias(count_as))
+    return joined.select(*columns)
