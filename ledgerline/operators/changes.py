@@ -49,10 +49,12 @@ def cutoff_date(raw: DataFrame | None, date_col: str | None, days: int) -> dt.da
 
 
 def within_lookback(df: DataFrame, date_col: str | None, cutoff: dt.date | None) -> DataFrame:
-    """Rows dated on or after the cutoff; every row when there is no cutoff."""
+    """Rows dated on or after the cutoff; every row when there is no cutoff. A row without a readable date cannot be
+    placed in the window and raises."""
     if cutoff is None or date_col is None:
         return df
-    return df.filter(_day(date_col) >= F.lit(cutoff))
+    undated = F.raise_error(F.lit(f"a row without a readable {date_col}")).cast("boolean")
+    return df.filter(F.coalesce(_day(date_col) >= F.lit(cutoff), undated))
 
 
 def latest_stored(

@@ -494,7 +494,7 @@ def q_dq_not_null(spark, sf_dir):
 REPORT_FILTER = {
     "start": "1997-01-01",
     "end": "1999-12-31",
-    "countries": ("FRANCE", "GERMANY", "INDIA", "RUSSIA", "UNITED KINGDOM", "UNITED STATES"),
+    "countries": ("NATION_2", "NATION_3", "NATION_5", "NATION_8", "NATION_13", "NATION_21"),
     "registration_types": ("BUILDING", "MACHINERY"),
 }
 

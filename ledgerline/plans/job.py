@@ -10,9 +10,9 @@ driver function, safe to rerun (see ``sources.store``).
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators import changes, quality
 from ledgerline.plans import build, checks, mart, report
@@ -21,45 +21,25 @@ from ledgerline.session import ensure_session
 from ledgerline.sources.csv_snapshot import read_source
 from ledgerline.sources.store import LoadOrderError, TableStore
 
-# Model -> inputs it waits for (the job's dependency map).
-DEPENDS_ON = {
-    "players": ("raw.players",),
-    "providers_map": ("raw.providers_map",),
-    "games_map": ("raw.games_map",),
-    "currency_rates": ("raw.currency_rates",),
-    "deposits": ("raw.deposits",),
-    "withdrawals": ("raw.withdrawals",),
-    "games": ("raw.games",),
-    "dim_player": ("players",),
-    "dim_provider": ("providers_map",),
-    "dim_game": ("games_map",),
-    "fact_deposit": ("deposits", "currency_rates"),
-    "fact_withdrawal": ("withdrawals", "currency_rates"),
-    "fact_bet": ("games", "currency_rates"),
-    "player_metrics": ("fact_deposit", "fact_withdrawal", "fact_bet"),
-    "metrics_overview": ("player_metrics", "dim_player"),
-    "monthly_summary": ("metrics_overview",),
-}
-
-
-def load_table(store: TableStore, table: str, source: str, batch_ts: dt.datetime) -> dict:
-    """Change capture of one CSV snapshot into the raw log (new or changed versions only)."""
-    spark = store.spark
+
+def load_table(store: TableStore, table: str, source: str | list[str], batch_ts: dt.datetime) -> dict:
+    """Change capture of one CSV snapshot (a file, a folder or a list of files) into the raw log: new or changed
+    versions only. Nothing is appended when a business date lies after the load time: the log cannot be repaired, and
+    such a date would move the look-back window of all later loads."""
     cfg = RAW_TABLES[table]
-    src = read_source(spark, source, cfg.columns)
+    src = read_source(store.spark, source, cfg.columns)
     stored_all = store.read_raw(table)
-    cutoff = None
-    if stored_all is not None and cfg.date_column:
-        frame = changes.cutoff_frame(stored_all, cfg.date_column, cfg.lookback_days).first()
-        if frame["max_date"] is not None and frame["max_date"] > batch_ts.date():
-            raise LoadOrderError(f"raw.{table}: stored business date {frame['max_date']} is after the load time")
-        cutoff = frame["cutoff_date"]
+    cutoff = changes.cutoff_date(stored_all, cfg.date_column, cfg.lookback_days)
     processed = changes.within_lookback(src, cfg.date_column, cutoff)
+    newest = F.max(F.to_date(cfg.date_column, "yyyy-MM-dd")) if cfg.date_column else F.lit(None).cast("date")
+    seen = processed.agg(F.count(F.lit(1)).alias("rows"), newest.alias("newest")).first()
+    if seen["newest"] is not None and seen["newest"] > batch_ts.date():
+        raise LoadOrderError(f"raw.{table}: business date {seen['newest']} is after the load time {batch_ts}")
     stored = None if stored_all is None else store.read_raw(table, from_date=cutoff)
     latest = changes.latest_stored(stored, cfg.keys, cfg.date_column, cutoff)
     inserted = changes.new_or_changed(processed, latest, cfg.keys, cfg.columns)
     written = store.append_versions(table, inserted, batch_ts)
-    return {"table_name": table, "processed_rows": processed.count(), "inserted_rows": written}
+    return {"table_name": table, "processed_rows": seen["rows"], "inserted_rows": written}
 
 
 def _gate(store: TableStore, state: dict[str, build.Table]):
@@ -107,10 +87,8 @@ def run_pipeline(
     store = TableStore(spark, root)
     loads = []
     for table in RAW_TABLES:
-        path = os.path.join(source_dir, f"{table}.csv")
-        if not os.path.exists(path) and "://" not in source_dir:
-            continue  # no snapshot delivered for this table in this run
-        loads.append(load_table(store, table, path, batch_ts))
+        # a snapshot that was not delivered fails the run, as a path that cannot be read
+        loads.append(load_table(store, table, f"{source_dir.rstrip('/')}/{table}.csv", batch_ts))
     prev = stored_state(store)
     raw = {}
     for t in build.STAGING_TABLES:

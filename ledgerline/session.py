@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 
 _REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
+    # bad ids, amounts and dates raise instead of turning NULL
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -59,7 +61,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir is not set: the cluster must name a shared checkpoint folder")
         # local runs and tests only (one machine); a cluster always names a shared folder
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")

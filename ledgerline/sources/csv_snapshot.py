@@ -7,6 +7,7 @@ files goes into the high bits of ``ingest_seq``. Large feeds should arrive as ma
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +45,21 @@ def read_source(spark: SparkSession, path: str | list[str], columns: Sequence[st
     return with_ingest_seq(df, cols)
 
 
+def _one_slash(path: str) -> str:
+    """``file:///a`` and ``file:/a`` name one file; Spark uses both forms."""
+    return re.sub("^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", path)
+
+
 def with_ingest_seq(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``ingest_seq``: the file's rank among the inputs (by path) in the high bits, the
     row's position inside its (whole-file) task in the low bits."""
-    files = sorted(df.inputFiles())
+    files = sorted({_one_slash(f) for f in df.inputFiles()})
     if len(files) <= 1:
         file_rank = F.lit(0).cast("long")
     else:
         ranks = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i).cast("long"))])
-        file_rank = ranks[F.col("_metadata.file_path")]
+        path = F.regexp_replace("_metadata.file_path", "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+        unranked = F.raise_error(F.concat(F.lit("no rank for source file "), path)).cast("long")
+        file_rank = F.coalesce(F.try_element_at(ranks, path), unranked)
     seq = F.shiftleft(file_rank, FILE_SHIFT).bitwiseOR(F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_MASK)))
     return df.select(*columns, seq.alias(INGEST_SEQ))

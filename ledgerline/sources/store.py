@@ -15,7 +15,8 @@ Layout under ``root`` (any file system Spark can write, e.g. a shared bucket):
   write and its commit leaves the old watermark in place, so the rerun recomputes the same
   batch; delete+insert and day replacement are idempotent, so the result is the same.
 * The raw log refuses a load time that is not after the last one (the watermark is a
-  strict ``>``); repeating the last load time is a no-op, so a rerun does not duplicate.
+  strict ``>``). Repeating the last load is a no-op when it brings nothing new, and an error otherwise. A load
+  overwrites its own ``_batch`` folder and only committed loads are read, so a load that died is repeated safely.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ class LoadOrderError(ValueError):
 
 
 def _batch_tag(ts: dt.datetime) -> int:
-    """Directory value of a load: yyyyMMddHHmmss as a number (read back as LONG)."""
-    return int(ts.strftime("%Y%m%d%H%M%S"))
+    """Directory value of a load: microseconds since 1970 (read back as LONG), so that no two load times share one."""
+    return (ts.replace(tzinfo=None) - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
 
 
 def _month_of_text(c: str):
@@ -59,10 +60,7 @@ def _month_of_text(c: str):
 def _observed_rows(obs: Observation) -> int:
     """Row count of an observed sub-plan; AQE prunes a sub-plan it found empty together with its
     metrics, so missing metrics mean zero rows."""
-    try:
-        return int(obs.get["rows"])
-    except Exception:  # noqa: BLE001
-        return 0
+    return int(obs.get.get("rows") or 0)
 
 
 class TableStore:
@@ -109,10 +107,11 @@ class TableStore:
                 return {}
             raise
         log: dict[str, dict] = {}
-        for r in rows:  # one row per commit of this warehouse: small, bounded by runs x tables
+        for r in sorted(rows, key=lambda r: r["version"]):  # one row per commit: bounded by runs x tables
             d = r.asDict()
-            if d["table_key"] not in log or d["version"] > log[d["table_key"]]["version"]:
-                log[d["table_key"]] = d
+            before = log.get(d["table_key"])
+            d["loads"] = [*(before["loads"] if before else []), d["watermark"]]
+            log[d["table_key"]] = d
         return log
 
     def _commit(self, key: str, watermark: dt.datetime, rows: int) -> None:
@@ -125,16 +124,19 @@ class TableStore:
         )
         # one folder per record: concurrent commits of independent models never share an output folder
         record.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_commits/{key}/{version:08d}-{self.run_id}")
-        self._log[key] = {"table_key": key, "version": version, "watermark": watermark, "rows": rows, "run_id": self.run_id}
+        loads = [*(prev["loads"] if prev else []), watermark]
+        self._log[key] = {"table_key": key, "version": version, "watermark": watermark, "rows": rows, "run_id": self.run_id, "loads": loads}
 
     # --- raw version log ----------------------------------------------------------
     def read_raw(self, table: str, since: dt.datetime | None = None, from_date: dt.date | None = None) -> DataFrame | None:
         """The raw log, pruned to loads after ``since`` and business months from ``from_date``."""
-        if self.last_commit(f"raw.{table}") is None:
+        last = self.last_commit(f"raw.{table}")
+        if last is None:
             return None
-        df = self.spark.read.parquet(self.raw_path(table))
+        # only committed loads: a load that died before its commit is no part of the log
+        committed = [_batch_tag(t) for t in last["loads"] if since is None or t >= since]
+        df = self.spark.read.parquet(self.raw_path(table)).filter(F.col("_batch").isin(committed))
         if since is not None:
-            # directory pruning (second resolution); the exact loaded_at > since filter follows
             df = df.filter(F.col("_batch") >= F.lit(_batch_tag(since))).filter(
                 F.col(LOADED_AT) > F.lit(since).cast(T.TimestampType())
             )
@@ -147,19 +149,21 @@ class TableStore:
         last = self.last_commit(f"raw.{table}")
         if last is not None:
             if batch_ts == last["watermark"]:
-                return 0  # this load is already in the log (rerun)
+                if rows.isEmpty():
+                    return 0  # a rerun: the log has all of this load's versions
+                raise LoadOrderError(f"raw.{table}: another load was stored at {batch_ts}")
             if batch_ts < last["watermark"]:
                 raise LoadOrderError(f"raw.{table}: load time {batch_ts} is not after the last one {last['watermark']}")
         cfg = RAW_TABLES[table]
-        out = rows.withColumn(LOADED_AT, F.lit(batch_ts).cast(T.TimestampType())).withColumn(
-            "_batch", F.lit(_batch_tag(batch_ts))
-        )
+        out = rows.withColumn(LOADED_AT, F.lit(batch_ts).cast(T.TimestampType()))
         month = _month_of_text(cfg.date_column) if cfg.date_column else F.lit(0)
         out = out.withColumn("_month", month)
         obs = Observation()
         out = out.hint("rebalance", "_month").observe(obs, F.count(F.lit(1)).alias("rows"))
-        out.write.mode("append").partitionBy("_batch", "_month").parquet(self.raw_path(table))
-        written = int(obs.get["rows"])
+        # a load overwrites its own directory only, so repeating one that died stores nothing twice
+        target = f"{self.raw_path(table)}/_batch={_batch_tag(batch_ts)}"
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_month").parquet(target)
+        written = _observed_rows(obs)
         total = (last["rows"] if last else 0) + written
         self._commit(f"raw.{table}", batch_ts, total)
         return written

@@ -4,7 +4,8 @@ loaded into the raw version log by the same change capture as the batch loader.
 ``Trigger.AvailableNow`` processes everything that has landed and stops, so the intake can
 run from the same scheduler as the job; the stream's checkpoint (in the warehouse's shared
 folder) remembers which files were taken, which replaces the source system's manual
-bookkeeping of processed files. A retried micro-batch is harmless: rows already in the log
+bookkeeping of processed files. All files that have landed are one micro-batch and so one load, with one look-back
+window: cut into several, the first would move the window past the rows of the next. A retried micro-batch is harmless: rows already in the log
 compare equal and are not appended again.
 """
 
@@ -16,13 +17,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.operators import changes
-from ledgerline.schemas import RAW_TABLES
-from ledgerline.sources.csv_snapshot import read_source
+from ledgerline.plans.job import load_table
 from ledgerline.sources.store import TableStore
 
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
-MAX_FILES_PER_BATCH = 1000  # bounds the file list a micro-batch hands to the driver
 
 
 def landed_files(spark: SparkSession, landing: str) -> DataFrame:
@@ -36,23 +34,11 @@ def landed_files(spark: SparkSession, landing: str) -> DataFrame:
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", MAX_FILES_PER_BATCH)
         .load(landing)
         .select("path")  # content is not read when only the path is selected
     )
 
 
-def load_batch(store: TableStore, table: str, source: DataFrame, batch_ts: dt.datetime) -> int:
-    """Change capture of one snapshot (text columns + ``ingest_seq``) into the raw log."""
-    cfg = RAW_TABLES[table]
-    stored_all = store.read_raw(table)
-    cutoff = changes.cutoff_date(stored_all, cfg.date_column, cfg.lookback_days)
-    processed = changes.within_lookback(source, cfg.date_column, cutoff)
-    stored = None if stored_all is None else store.read_raw(table, from_date=cutoff)
-    latest = changes.latest_stored(stored, cfg.keys, cfg.date_column, cutoff)
-    return store.append_versions(table, changes.new_or_changed(processed, latest, cfg.keys, cfg.columns), batch_ts)
-
-
 def start_intake(
     spark: SparkSession,
     root: str,
@@ -62,15 +48,13 @@ def start_intake(
 ) -> StreamingQuery:
     """Start an AvailableNow stream that loads every landed snapshot of ``table``; call
     ``awaitTermination()`` on the result."""
-    clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0))
+    clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        files = sorted(r["path"] for r in batch.collect())  # at most MAX_FILES_PER_BATCH paths
+        files = sorted(r["path"] for r in batch.collect())  # the paths of one delivery
         if not files:
             return
-        session = batch.sparkSession
-        source = read_source(session, files, RAW_TABLES[table].columns)
-        load_batch(TableStore(session, root), table, source, clock())
+        load_table(TableStore(batch.sparkSession, root), table, files, clock())
 
     return (
         landed_files(spark, landing)
