@@ -30,8 +30,8 @@ from ledgerline.llm.common import Memo, list_array, pieces, save
 BITS = 18
 LENGTHS = (3, 4, 5, 6)
 PER_CLASS = 3000
-SIGNIFICANT = 4.0
-REGULARISATION = 1e-5
+SIGNIFICANT = 3.0
+REGULARISATION = 1e-4
 ITERATIONS = 30
 
 
