@@ -15,7 +15,9 @@ name), and an atom gets a surrogate drawn from a keyed hash:
   such a collision are drawn again until none is left.
 
 Scale: atoms are aggregated to distinct ones before anything is joined, so a hot entity is one row; occurrences are joined
-to surrogates by key, where a hot key can be split. Per-document maps are bounded by the document.
+to surrogates by key, where a hot key can be split. Per-document maps are bounded by the document. Only texts that hold an
+entity are shuffled, to meet their map; the others pass through. Surrogates are drawn once an atom and round, in tasks of
+``ATOMS_A_TASK`` atoms, as drawing costs far more than an atom's few bytes tell.
 
 Defined results: a null text stays null and an empty one empty; repeated rows are rewritten alike; a null ``doc_id`` is kept.
 All columns of the input are returned; ``text`` is replaced (and ``n_chars``, where there is such a column, follows it).
@@ -30,6 +32,7 @@ from ledgerline.llm.common import save
 
 KEY = "ledgerline-surrogates-1"  # the default secret; callers pass their own
 LONGER_AFTER = 16  # draws after which a surrogate may be longer than its atom, where a kind's space is exhausted
+ATOMS_A_TASK = 2000
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 _ASSIGNED = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?"""
@@ -241,8 +244,10 @@ def distinct_surrogates(known: DataFrame, key: str = KEY) -> DataFrame:
     them an atom itself. Of those that draw the same, the smallest keeps it and the others draw again."""
     known = save(known, "atoms")
     taken, waiting, attempt = None, known, 0
+    tasks = known.count() // ATOMS_A_TASK + 1
     while True:
-        drawn = waiting.withColumn("surrogate", surrogate(F.col("kind"), F.col("canon"), F.lit(attempt), key))
+        spread = waiting.repartition(tasks, "kind", "canon")
+        drawn = save(spread.withColumn("surrogate", surrogate(F.col("kind"), F.col("canon"), F.lit(attempt), key)), "drawn")
         least = drawn.groupBy(F.col("kind").alias("k"), F.col("surrogate").alias("s")).agg(F.min("canon").alias("keeper"))
         real = known.select(F.col("kind").alias("k"), F.col("canon").alias("s"))
         free = least.join(real, ["k", "s"], "left_anti")
@@ -253,8 +258,10 @@ def distinct_surrogates(known: DataFrame, key: str = KEY) -> DataFrame:
         now = save(kept if taken is None else taken.unionByName(kept), "surrogates")
         waiting = known.join(now.select("kind", "canon"), ["kind", "canon"], "left_anti")
         taken, attempt = now, attempt + 1
-        if waiting.isEmpty():
+        left = waiting.count()
+        if left == 0:
             return taken
+        tasks = left // ATOMS_A_TASK + 1
 
 
 def _uid() -> Column:
@@ -296,14 +303,16 @@ def pseudonymise(docs: DataFrame, key: str = KEY, count_as: str | None = None) -
     number of different entities of a row."""
     found = save(replacements(docs, key), "swaps")
     swaps = F.col("found.swaps")
+    held = F.coalesce(F.col("text").rlike(ENTITY), F.lit(False))
     on = F.xxhash64("d.doc_id", "d.text") == F.col("found.uid")
-    joined = docs.alias("d").join(found.alias("found"), on, "left")
-    text = F.when(swaps.isNull(), F.col("d.text")).otherwise(rewrite(F.col("d.text"), swaps))
+    joined = docs.filter(held).alias("d").join(found.alias("found"), on)
+    text = rewrite(F.col("d.text"), swaps)
     new = {"text": text}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(swaps.isNull(), F.col("d.n_chars")).otherwise(F.length(text).cast(kind))
-    columns = [new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns]
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    changed = [new.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns]
+    same = [F.col(f"`{c}`") for c in docs.columns]
     if count_as:
-        columns.append(F.coalesce(F.size(swaps), F.lit(0)).alias(count_as))
-    return joined.select(*columns)
+        changed.append(F.size(swaps).alias(count_as))
+        same.append(F.lit(0).alias(count_as))
+    return joined.select(*changed).union(docs.filter(~held).select(*same))
