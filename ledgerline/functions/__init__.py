@@ -3,6 +3,7 @@ from ledgerline.functions.scalar import (
     as_date,
     as_amount,
     as_rate,
+    loses_digits,
     code,
     clean_text,
     to_usd,
@@ -19,6 +20,7 @@ __all__ = [
     "as_date",
     "as_amount",
     "as_rate",
+    "loses_digits",
     "code",
     "clean_text",
     "to_usd",

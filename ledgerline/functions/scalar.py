@@ -31,6 +31,14 @@ def as_rate(c: str | Column) -> Column:
     return _c(c).cast(RATE)
 
 
+def loses_digits(c: str | Column, kind: T.DecimalType) -> Column:
+    """Whether a number's text has decimals (other than zeros) beyond the scale of ``kind``, which a cast rounds away."""
+    plain = F.regexp_extract(_c(c), rf"^\s*[+-]?[0-9]*\.[0-9]{{{kind.scale}}}([0-9]*)\s*$", 1).rlike("[1-9]")
+    # with an exponent, digits tell nothing: compare with a wider value
+    wide = _c(c).try_cast(T.DecimalType(38, 2 * kind.scale))
+    return plain | (_c(c).rlike("[eE]") & (wide != _c(c).try_cast(kind)))
+
+
 def code(c: str | Column) -> Column:
     """Codes such as currency or country: spaces trimmed, upper case."""
     return F.upper(F.trim(_c(c)))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import as_amount, as_bigint, as_date, code, reportable
 from ledgerline.operators import changes, incremental, quality
@@ -477,16 +479,39 @@ def q_dq_unique(spark, sf_dir):
     return checks.unique(_damaged_facts(spark, sf_dir)["fact_bet"], "fact_bet")
 
 
+def _union(parts):
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("dq_not_null")
 def q_dq_not_null(spark, sf_dir):
-    """NULL count of every column of facts, metrics and report with missing rates and unknown players."""
+    """NULL count of every column of all models with missing rates and unknown players."""
     w = full(spark, sf_dir, DAMAGED)
-    tables = {**w.facts, "player_metrics": w.player_metrics, "metrics_overview": w.metrics_overview}
-    parts = [quality.null_counts(df, df.columns, name) for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tables = {name: w.table(name) for name in MODELS} | {"monthly_summary": w.monthly_summary}
+    return _union(quality.null_counts(df, df.columns, name) for name, df in tables.items())
+
+
+@query("dq_unique_all_keys")
+def q_dq_unique_all_keys(spark, sf_dir):
+    """Keys and grains held by more than one row, for every model with some of its rows doubled."""
+    w = full(spark, sf_dir)
+    parts = []
+    for name, keys in checks.UNIQUE_KEYS.items():
+        df = w.table(name)
+        number = F.dayofyear(keys[0]) if isinstance(df.schema[keys[0]].dataType, T.DateType) else F.col(keys[0])
+        found = checks.unique(df.unionByName(df.filter(number % 50 == 1)), name)
+        text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        parts.append(found.select(F.lit(name).alias("table_name"), text.alias("key"), "n_rows"))
+    return _union(parts)
+
+
+@query("lossy_casts")
+def q_lossy_casts(spark, sf_dir):
+    """Raw rows whose number doesn't fit its type without rounding, where some amounts have too many decimals."""
+    r = raw(spark, sf_dir)
+    too_long = F.when(F.col("id").cast("long") % 1000 == 7, F.concat("amount", F.lit("00001"))).otherwise(F.col("amount"))
+    r |= {t: r[t].withColumn("amount", too_long) for t in ("deposits", "withdrawals", "games")}
+    return _union(checks.lossy(r[t], t) for t in checks.NUMBERS)
 
 
 # --- dashboard data ---------------------------------------------------------------------------

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions import to_usd
+from ledgerline.functions import loses_digits, to_usd
 from ledgerline.operators import quality
 from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.plans.mart import FACTS, METRICS, RATES_BROADCAST_ROWS, aggregate_player_day, player_operations
+from ledgerline.schemas import AMOUNT, RATE, RAW_TABLES
 
 # Every model column is declared NOT NULL; these keys are declared unique (single column),
 # plus composite grains we also check.
@@ -31,6 +32,23 @@ UNIQUE_KEYS = {
     "metrics_overview": ("activity_date", "country", "registration_type"),
 }
 
+# Raw columns typed as NUMERIC.
+NUMBERS = {
+    "currency_rates": ("rate_to_usd", RATE),
+    "deposits": ("amount", AMOUNT),
+    "withdrawals": ("amount", AMOUNT),
+    "games": ("amount", AMOUNT),
+}
+
+
+def lossy(raw: DataFrame, table: str) -> DataFrame:
+    """Raw versions whose number is rounded by the cast of its staging model; one scan, no shuffle."""
+    column, kind = NUMBERS[table]
+    key = F.concat_ws("|", *RAW_TABLES[table].keys)
+    return raw.filter(loses_digits(column, kind)).select(
+        F.lit(table).alias("table_name"), key.alias("key"), F.lit(column).alias("column_name"), F.col(column).alias("raw_value")
+    )
+
 
 def not_null(df: DataFrame, table: str) -> DataFrame:
     return quality.not_null_failures(df, df.columns, table)
