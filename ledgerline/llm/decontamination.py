@@ -2,8 +2,8 @@
 
 Fixed masks name token positions that a window's hash ignores, so a window still matches where a word was substituted
 at an ignored place. Hashes of the benchmark's and of the documents' windows are joined; around each hit the
-item is laid along the document at the hit's diagonal and compared word by word: the best stretch, in which a
-substitution costs more than a match gains, is the overlap.
+item is laid along the document at the hit's diagonal and compared word by word: of all stretches of ``MIN_WORDS`` words
+or more with a share of ``MIN_EQUAL`` equal ones, the one with most equal words is the overlap.
 
 Scale: documents are read once. A sieve of fixed size (``SIEVE_BITS`` bits, set from the benchmark's hashes by Spark) drops
 nearly all windows of clean documents before anything is shuffled; what passes, rightly or not, is joined by hash, and
@@ -19,6 +19,7 @@ counts, the earliest on ties. Other columns are not read.
 from __future__ import annotations
 
 import re
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Memo, list_array, pieces, save
 
-#: 1 marks a position that counts.
-MASKS = ("11111111", "1101100111", "1110011011", "1010111101")
+#: 1 marks a position that counts. Each stretch of 13 to 25 words with a fifth of them changed, at any places,
+#: holds a window that a mask matches; a longer one holds such a stretch, so no overlap is without a hit.
+MASKS = ("1101111", "111010000011", "1101000111", "1111011")
 MIN_WORDS = 13
-MISMATCH_COST = 3.0
 MIN_EQUAL = 0.8
 SIEVE_BITS = 25
 PROBES = 3
@@ -152,12 +153,26 @@ def uid():
 
 
 def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """The stretch (start, stop) of highest score: 1 for an equal word, -MISMATCH_COST for another."""
-    total = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -MISMATCH_COST))])
-    gain = total - np.minimum.accumulate(total)
-    stop = int(gain.argmax())
-    start = int(total[: stop + 1].argmin()) if stop else 0
-    return start, stop
+    """Of all stretches (start, stop) of ``MIN_WORDS`` words or more with a share of ``MIN_EQUAL`` equal ones, the one with
+    most equal words, the shortest and then the earliest on ties; (0, 0) if there is none."""
+    n = len(same)
+    if n < MIN_WORDS:
+        return 0, 0
+    share = Fraction(MIN_EQUAL).limit_denominator(1000)
+    equal = np.concatenate([[0], np.cumsum(same, dtype=np.int64)])
+    total = share.denominator * equal - share.numerator * np.arange(n + 1)  # a stretch qualifies if its sum is not negative
+    ahead = np.maximum.accumulate(total[::-1])  # from the end: the highest sum at a place or after it
+    starts = np.arange(n + 1 - MIN_WORDS)
+    stops = n - np.searchsorted(ahead, total[starts], side="left")  # the last place that is as high as the start
+    starts = starts[stops - starts >= MIN_WORDS]
+    if not len(starts):
+        return 0, 0
+    stops = n - np.searchsorted(ahead, total[starts], side="left")
+    most = equal[stops] - equal[starts]
+    starts, stops = starts[most == most.max()], stops[most == most.max()]
+    stops = np.maximum(starts + MIN_WORDS, np.searchsorted(equal, equal[stops], side="left"))
+    best = int((stops - starts).argmin())
+    return int(starts[best]), int(stops[best])
 
 
 def _verify(batches):
@@ -170,9 +185,8 @@ def _verify(batches):
             n = min(len(item) - lead, len(part))
             same = item[lead : lead + n] == part[:n]
             start, stop = best_stretch(same)
-            equal = int(same[start:stop].sum())
-            if stop - start >= MIN_WORDS and equal >= MIN_EQUAL * (stop - start):
-                at = max(0, r["diagonal"]) + start
+            if stop > start:
+                equal, at = int(same[start:stop].sum()), max(0, r["diagonal"]) + start
                 rows.append((r["uid"], r["doc_id"], r["item_id"], equal, stop - start, at, lead + start))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)

@@ -155,6 +155,52 @@ def test_decontamination_odd_rows(spark, odd_documents, no_documents):
     assert decontamination.without_contaminated(odd_documents, benchmark.limit(0)).count() == odd_documents.count()
 
 
+def _any_stretch(same):
+    """The stretch of 13 words or more, 80% of them equal, with most equal words, by trying all."""
+    found = [
+        (-sum(same[i:j]), j - i, i) for i in range(len(same)) for j in range(i + 13, len(same) + 1) if 5 * sum(same[i:j]) >= 4 * (j - i)
+    ]
+    return (min(found)[2], min(found)[2] + min(found)[1]) if found else (0, 0)
+
+
+def test_best_stretch_tries_all_stretches():
+    rng = random.Random(3)
+    assert decontamination.best_stretch(np.array([True] * 2 + [False] + [True] * 12)) == (0, 15)
+    for _ in range(1500):
+        share = rng.choice([0.6, 0.75, 0.8, 0.9])
+        same = [rng.random() < share for _ in range(rng.randrange(0, 42))]
+        assert decontamination.best_stretch(np.array(same, bool)) == _any_stretch(same), same
+
+
+def test_masks_hit_every_stretch():
+    """All places of the changed words, for each length that a stretch cannot be cut further to."""
+    for n in range(decontamination.MIN_WORDS, 2 * decontamination.MIN_WORDS):
+        changed = np.array(list(itertools.combinations(range(n), n // 5)))
+        equal = (1 << n) - 1 - (np.int64(1) << changed).sum(axis=1)
+        hit = np.zeros(len(equal), bool)
+        for mask in decontamination.MASKS:
+            for at in range(n - len(mask) + 1):
+                window = int(mask[::-1], 2) << at
+                hit |= (equal & window) == window
+        assert hit.all()
+
+
+def test_changed_copies_are_found(spark):
+    """Whole items with a fifth of their words changed, at any places."""
+    rng = random.Random(12)
+    items, docs = [], []
+    for i in range(400):
+        n, word = rng.choice([13, 15, 16, 20, 25, 30]), iter(range(10**6))
+        items.append((i, " ".join(f"i{i}w{next(word)}" for _ in range(n))))
+        text = items[-1][1].split()
+        for at in rng.sample(range(n), n // 5):
+            text[at] = f"c{at}"
+        docs.append((i, " ".join(["before"] * rng.randrange(4) + text + ["after"] * rng.randrange(4))))
+    frames = [spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")]
+    got = {(r["doc_id"], r["item_id"], r["n_equal"]) for r in decontamination.contaminated(*frames).collect()}
+    assert got == {(i, i, len(text.split()) - len(text.split()) // 5) for i, text in items}
+
+
 PEOPLE = [
     (1, "Write to Ann.Lee@Mail.example.com or ANN.LEE@MAIL.EXAMPLE.COM; call +1 (469) 555-8958 or +1-469-555-8958."),
     (2, "Mr. John Smith met Mrs Anna SMITH, then Mr Smith left. г-жа Иванова пришла."),
