@@ -7,7 +7,8 @@ Each run splits the classes recursively: a node picks one of ``COORDINATES`` sha
 and, with the chance that keeps a pair at the threshold on one path in expectation, a second; classes that
 agree on it go to the same child. Nodes of at most ``SMALL`` classes are compared by brute force; those that a
 split does not shrink, groups of near copies, are compared in blocks. Runs are repeated until a pair at the threshold
-is met with chance ``RECALL`` (``runs_needed``), and pairs above it are met more often.
+is met and passes the sketches' limit with chance ``RECALL`` even if all its nodes are split through all levels
+(``runs_as_coded``), and pairs above it are met more often.
 
 A bucket's pairs are first compared by sketches, whose limit lies ``SLACK`` standard errors under the threshold, and a
 pair counts only in the first bucket its classes share; only classes with a candidate there have their exact sets compared.
@@ -44,6 +45,7 @@ SMALL = 256
 BLOCK = 512
 SHRUNK = 0.5  # a split that leaves a larger share of a node together does not shrink it
 SLACK = 3.5
+SECOND = 1 / THRESHOLD - 1  # the share of nodes that are split by a second coordinate too
 _TOKENS = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 300_000)
 FEATURES = "uid long, doc_id long, key binary, size int, signature array<int>, sketch binary"
 _rng = np.random.default_rng(20_240_607)
@@ -52,18 +54,72 @@ _ADD = _rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
 
 
 def missed(levels: int, similarity: float = THRESHOLD) -> float:
-    """The chance that one run of so many levels separates a pair of the similarity."""
-    second, out = 1 / THRESHOLD - 1, 0.0
+    """The chance that one run of so many levels separates a pair of the similarity, were each node's coordinate fresh."""
+    out = 0.0
     for _ in range(levels):
         apart = 1 - similarity * (1 - out)
-        out = apart * (1 - second + second * apart)
+        out = apart * (1 - SECOND + SECOND * apart)
     return out
 
 
 def runs_needed(levels: int = LEVELS, recall: float = RECALL) -> int:
+    """The runs needed if they were independent; as they share their coordinates, ``runs_as_coded`` are more."""
     return math.ceil(math.log(1 - recall) / math.log(missed(levels)))
 
 
+def roots(runs: int) -> list[tuple[int, int]]:
+    """``run, coordinate`` of the first splits; a share of ``SECOND`` of the runs has two. All differ, as far as they can."""
+    order = np.random.default_rng(7).permutation(COORDINATES)
+    return [(r, int(order[i % COORDINATES])) for i, r in enumerate([*range(runs), *range(math.ceil(runs * SECOND))])]
+
+
+def _binomial(n: int, p: float) -> list[float]:
+    return [math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+
+
+def _sketch_fails(shared: int, limit: int) -> float:
+    """The chance that sketches of so many equal min-hashes agree in fewer than ``limit`` bytes."""
+    return sum(_binomial(COORDINATES - shared, 1 / 256)[: max(0, limit - shared)])
+
+
+def sketch_limit(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """Equal bytes from which sketches are candidates: ``SLACK`` standard errors under the threshold, or less where that
+    would lose more than half of what ``recall`` allows to be missed."""
+    limit = math.floor(COORDINATES * (threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDINATES)))
+    chances = _binomial(COORDINATES, threshold)
+    while sum(c * _sketch_fails(shared, limit) for shared, c in enumerate(chances)) > (1 - recall) / 2:
+        limit -= 1
+    return limit
+
+
+def pair_missed(runs: int, levels: int, similarity: float, limit: int) -> float:
+    """The chance that a pair of the similarity is not compared in any run, as coded: all nodes draw from the same min-hashes,
+    of which the pair shares some number, roots draw without repetition, and sketches have to reach ``limit``."""
+    n, lost = COORDINATES, 0.0
+    often, extra = divmod(len(roots(runs)), n)  # each coordinate is the root's so often, and of ``extra`` ones once more
+    for shared, chance in enumerate(_binomial(n, similarity)):
+        both, none = shared * (shared - 1) / (n * (n - 1)), (n - shared) * (n - shared - 1) / (n * (n - 1))
+        out = 0.0
+        for _ in range(levels - 1):
+            one = 1 - shared / n * (1 - out)
+            out = (1 - SECOND) * one + SECOND * (none + (1 - none - both) * out + both * out**2)
+        apart = sum(
+            math.comb(shared, k) * math.comb(n - shared, extra - k) / math.comb(n, extra) * out ** (k + often * shared)
+            for k in range(max(0, extra - n + shared), min(shared, extra) + 1)
+        )
+        fails = _sketch_fails(shared, limit)
+        lost += chance * (fails + (1 - fails) * apart)
+    return lost
+
+
+def runs_as_coded(levels: int = LEVELS, recall: float = RECALL, threshold: float = THRESHOLD) -> int:
+    """The fewest runs that compare a pair at the threshold with chance ``recall``."""
+    runs, limit = runs_needed(levels, recall), sketch_limit(threshold, recall)
+    while pair_missed(runs, levels, threshold, limit) > 1 - recall:
+        runs += 1
+    return runs
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     words = text.lower().split() if text else []
@@ -126,11 +182,7 @@ def _child(bucket: Column, coordinate: Column) -> Column:
 
 def buckets(classes: DataFrame, runs: int, levels: int) -> DataFrame:
     """``key, run, bucket, n``: where each class is compared, for nodes of two classes or more."""
-    rng = np.random.default_rng(7)
-    order = rng.permutation(COORDINATES)
-    picks = [(r, int(order[r % COORDINATES])) for r in range(runs)]
-    picks += [(r, int(order[(runs + r) % COORDINATES])) for r in range(runs) if rng.random() < 1 / THRESHOLD - 1]
-    root = [F.struct(F.lit(r).alias("run"), _child(F.lit(r), F.lit(c)).alias("bucket")) for r, c in picks]
+    root = [F.struct(F.lit(r).alias("run"), _child(F.lit(r), F.lit(c)).alias("bucket")) for r, c in roots(runs)]
     rows = classes.select("key", F.inline(F.array(*root))).withColumn("parent_n", F.lit(None).cast("long"))
     done = None
     for level in range(1, levels + 1):
@@ -150,7 +202,7 @@ def buckets(classes: DataFrame, runs: int, levels: int) -> DataFrame:
             return done
         first = F.pmod(F.xxhash64("bucket", F.lit(1)), F.lit(COORDINATES))
         second = F.when(
-            F.pmod(F.xxhash64("bucket", F.lit(2)), F.lit(1000)) < round(1000 * (1 / THRESHOLD - 1)),
+            F.pmod(F.xxhash64("bucket", F.lit(2)), F.lit(1000)) < round(1000 * SECOND),
             F.pmod(first + 1 + F.pmod(F.xxhash64("bucket", F.lit(3)), F.lit(COORDINATES - 1)), F.lit(COORDINATES)),
         )
         rows = (
@@ -340,9 +392,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
         ),
         "classes",
     )
-    nodes = buckets(classes, runs_needed(LEVELS, recall), LEVELS)
-    error = math.sqrt(threshold * (1 - threshold) / COORDINATES)
-    limit = math.floor(COORDINATES * (threshold - SLACK * error))
+    nodes = buckets(classes, runs_as_coded(LEVELS, recall, threshold), LEVELS)
+    limit = sketch_limit(threshold, recall)
     blocks = in_tasks(in_blocks(nodes, classes), nodes.count(), 5000)
     near = save(blocks.applyInPandas(_candidates(limit), CANDIDATES), "candidates")
     wanted = near.select("key").distinct().join(classes.select("key", "doc_id"), "key")

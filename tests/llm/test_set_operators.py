@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from ledgerline.llm import decontamination, exact_topk, jaccard_join, queries, surrogates, tool_calls, warc
 from pyspark.sql import functions as F
@@ -92,6 +93,36 @@ def test_runs_reach_the_recall():
     assert jaccard_join.missed(5) ** runs <= 0.001 < jaccard_join.missed(5) ** (runs - 1)
 
 
+def test_measured_recall_through_all_levels(spark, monkeypatch):
+    """Pairs of similarity 0.80 to 0.82 in nodes that are split at every level."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 0)
+    monkeypatch.setattr(jaccard_join, "SHRUNK", 2.0)
+    rng, n = np.random.default_rng(5), 20_000
+    found = []
+    for part in range(20):
+        sets = []
+        for i in range(n // 20):
+            own = 18 + i % 3
+            values = rng.integers(0, 1 << 63, 160 + 2 * own, dtype=np.uint64)
+            sets += [values[: 160 + own], np.concatenate([values[:160], values[160 + own :]])]
+        found.append(jaccard_join.signatures(sets))
+    found = np.concatenate(found)
+    sketches = (found >> np.uint32(8)).astype(np.uint8)
+    close = (sketches[::2] == sketches[1::2]).sum(axis=1) >= jaccard_join.sketch_limit()
+    keys = [i.to_bytes(4, "big") + bytes([side]) for i in range(n) for side in (0, 1)]
+    table = pa.table({"key": pa.array(keys, pa.binary()), "signature": pa.array(list(found.view(np.int32)), pa.list_(pa.int32()))})
+    nodes = jaccard_join.buckets(spark.createDataFrame(table), jaccard_join.runs_as_coded(), jaccard_join.LEVELS)
+    pairs = nodes.groupBy("bucket", F.substring("key", 1, 4).alias("pair")).count().filter("count > 1").select("pair").distinct()
+    met = {int.from_bytes(r["pair"], "big") for r in pairs.collect()} & set(np.flatnonzero(close).tolist())
+    assert n - len(met) <= 0.001 * n + 3 * (0.001 * n) ** 0.5, n - len(met)
+
+
+def test_second_roots_have_their_share():
+    for runs in range(1, 40):
+        assert len(jaccard_join.roots(runs)) >= 1.25 * runs
+    assert len({c for _, c in jaccard_join.roots(40)}) == 50
+
+
 def _best_overlap(doc, item):
     """The stretch of highest score over all diagonals."""
     best = (0, 0)
