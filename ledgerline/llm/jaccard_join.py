@@ -15,8 +15,10 @@ pair counts only in the first bucket its classes share; only classes with a cand
 No pair is emitted: a bucket returns each class's number of links and the class's smallest partner, from which
 components are found by repeated joins on written tables.
 
-Scale: features are fixed-size; texts are shuffled at most once, for classes with a candidate. A hot bucket becomes blocks of
-``BLOCK`` classes, one block pair a group, so no group grows with the data.
+Scale: features are fixed-size; texts are shuffled at most once, for classes with a candidate, and their sets once a block
+pair. A hot bucket becomes blocks of ``BLOCK`` classes; whole block pairs are dealt to groups of about ``ROWS`` rows, and where
+sets are compared to groups of about ``SET_ROWS`` rows and ``SET_BYTES``; block pairs of more bytes are cut into pairs of
+parts, a group each. So no group grows with the data; a part holds one class at least.
 
 Defined results: words are lower-cased and split at white space; a text of fewer than ``SHINGLE`` words is one shingle; null
 texts and texts without words take no part and are their own class; repeated rows are copies; rows without a ``doc_id``
@@ -44,6 +46,9 @@ LEVELS = 5
 SMALL = 256
 BLOCK = 512
 SHRUNK = 0.5  # a split that leaves a larger share of a node together does not shrink it
+ROWS = 5000  # rows a group of sketches
+SET_ROWS = 1000  # rows and bytes of sets a group
+SET_BYTES = 16_000_000
 SLACK = 3.5
 SECOND = 1 / THRESHOLD - 1  # the share of nodes that are split by a second coordinate too
 _TOKENS = Memo(lambda w: xxhash.xxh3_64_intdigest(w), 300_000)
@@ -214,13 +219,13 @@ def buckets(classes: DataFrame, runs: int, levels: int) -> DataFrame:
 
 
 def in_blocks(nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """A row for each class, node and block pair: ``bucket, a, b, block, key, sketch, earlier``; ``earlier``: the nodes
-    that come before this one among the class's own."""
+    """A row for each class, node and block pair: ``bucket, a, b, block, key, size, sketch, earlier``; ``earlier``: the
+    nodes that come before this one among the class's own."""
     own = nodes.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("run", "bucket", "n"))).alias("own"))
     n = F.ceil(F.col("node.n") / BLOCK)
     return (
-        own.join(classes.select("key", "sketch"), "key")
-        .select("key", "sketch", "own", F.posexplode("own").alias("place", "node"))
+        own.join(classes.select("key", "size", "sketch"), "key")
+        .select("key", "size", "sketch", "own", F.posexplode("own").alias("place", "node"))
         .withColumn("block", F.pmod(F.xxhash64("key"), n).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))))
         .select(
@@ -229,6 +234,7 @@ def in_blocks(nodes: DataFrame, classes: DataFrame) -> DataFrame:
             F.greatest("block", "other").alias("b"),
             "block",
             "key",
+            "size",
             "sketch",
             F.transform(F.slice("own", F.lit(1), F.col("place")), lambda x: x["bucket"]).alias("earlier"),
         )
@@ -248,14 +254,56 @@ def _met_before(earlier: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     return member[left] @ member[right].T > 0
 
 
-CANDIDATES = "bucket long, a int, b int, block int, key binary, earlier array<long>"
+CANDIDATES = "bucket long, a int, b int, block int, key binary, size int, earlier array<long>"
 
 
-def in_tasks(rows: DataFrame, total: int, each: int):
+def in_tasks(rows: DataFrame, total: int, each: int, alone: Column | None = None):
     """``rows`` (of ``bucket, a, b``) grouped so that a group holds many block pairs, about ``each`` rows: whole block
-    pairs, dealt by hash."""
-    group = F.pmod(F.xxhash64("bucket", "a", "b"), F.lit(max(1, math.ceil(total / each))))
-    return rows.withColumn("task", group).groupBy("task")
+    pairs, dealt by hash; those that are ``alone`` are a group each and not among the ``total`` rows."""
+    pair = F.xxhash64("bucket", "a", "b")
+    group = F.pmod(pair, F.lit(max(1, math.ceil(total / each))))
+    return rows.withColumn("task", group if alone is None else F.when(alone, pair).otherwise(group)).groupBy("task")
+
+
+def sketch_tasks(nodes: DataFrame, classes: DataFrame):
+    """The rows of ``in_blocks``, grouped; a node of n classes has n rows a block."""
+    total = nodes.agg(F.sum(F.ceil(F.col("n") / BLOCK))).first()[0] or 0
+    return in_tasks(in_blocks(nodes, classes), total, ROWS)
+
+
+def pair_parts(near: DataFrame) -> DataFrame:
+    """``bucket, a, b, n, nbytes, parts`` of the block pairs in ``near`` (of ``CANDIDATES``); ``parts``: those that each of its
+    blocks is cut into, so that two parts' sets stay under ``SET_BYTES``."""
+    parts = F.greatest(F.lit(1), F.ceil(F.col("nbytes") / (SET_BYTES // 2)).cast("int")).alias("parts")
+    held = near.groupBy("bucket", "a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size").cast("long") * 8).alias("nbytes"))
+    return held.select("*", parts)
+
+
+def in_parts(near: DataFrame, held: DataFrame) -> DataFrame:
+    """``near`` with the block pairs of several parts turned into block pairs of parts."""
+    large = held.filter("parts > 1").select("bucket", "a", "b", "parts")
+    on = ["bucket", "a", "b"]
+    part = F.pmod(F.xxhash64("key", F.lit("part")), F.col("parts")).cast("int")
+    cut = near.join(large, on).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    inner, first = F.col("a") == F.col("b"), F.col("block") == F.col("a")
+    # within a block each two parts meet once; across two blocks the second one's parts have the numbers from ``parts`` on
+    left = F.when(inner, F.least("part", "other")).when(first, F.col("part")).otherwise(F.col("other"))
+    right = F.when(inner, F.greatest("part", "other")).otherwise(F.col("parts") + F.when(first, F.col("other")).otherwise(F.col("part")))
+    own = F.when(inner | first, F.col("part")).otherwise(F.col("parts") + F.col("part"))
+    cut = cut.select(
+        F.xxhash64("bucket", "a", "b").alias("bucket"), left.alias("a"), right.alias("b"), own.alias("block"), "key", "size", "earlier"
+    ).withColumn("alone", F.lit(True))
+    return near.join(large, on, "left_anti").withColumn("alone", F.lit(False)).select(cut.columns).unionByName(cut)
+
+
+def set_tasks(near: DataFrame, sets: DataFrame):
+    """The candidates of ``near`` with their ``sets`` (``key, members``), grouped by rows and bytes."""
+    held, whole = pair_parts(near), F.col("parts") == 1
+    most, n, nbytes = held.agg(F.max("parts"), F.sum(F.when(whole, F.col("n"))), F.sum(F.when(whole, F.col("nbytes")))).first()
+    cut = (most or 1) > 1
+    rows = in_parts(near, held) if cut else near
+    total = max(n or 0, (nbytes or 0) * SET_ROWS // SET_BYTES)
+    return in_tasks(rows.join(sets.dropDuplicates(["key"]), "key"), total, SET_ROWS, F.col("alone") if cut else None)
 
 
 def _block_pairs(rows: pd.DataFrame):
@@ -285,7 +333,7 @@ def _candidates(limit: int):
                 close &= ~_met_before(list(earlier[own]), left, right)
                 active[own[left[close.any(axis=1)]]] = True
                 active[own[right[close.any(axis=0)]]] = True
-        return rows.loc[active, ["bucket", "a", "b", "block", "key", "earlier"]]
+        return rows.loc[active, ["bucket", "a", "b", "block", "key", "size", "earlier"]]
 
     return run
 
@@ -312,7 +360,6 @@ def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thresho
 
 def _linked(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["bucket", "a", "b", "key"]).reset_index(drop=True)
         members, earlier, keys = (rows[c].to_numpy() for c in ("members", "earlier", "key"))
         out: list[tuple[bytes, int, bytes]] = []
         for own, left, right in _block_pairs(rows):
@@ -388,17 +435,15 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
         .groupBy("key")
         .agg(
             F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_copies"),
-            F.first("signature").alias("signature"), F.first("sketch").alias("sketch"),
+            F.first("size").alias("size"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"),
         ),
         "classes",
     )
     nodes = buckets(classes, runs_as_coded(LEVELS, recall, threshold), LEVELS)
     limit = sketch_limit(threshold, recall)
-    blocks = in_tasks(in_blocks(nodes, classes), nodes.count(), 5000)
-    near = save(blocks.applyInPandas(_candidates(limit), CANDIDATES), "candidates")
+    near = save(sketch_tasks(nodes, classes).applyInPandas(_candidates(limit), CANDIDATES), "candidates")
     wanted = near.select("key").distinct().join(classes.select("key", "doc_id"), "key")
-    compared = in_tasks(near.join(exact_sets(docs, wanted), "key"), near.count(), 1000)
-    links = save(compared.applyInPandas(_linked(threshold), "key binary, links long, root binary"), "links")
+    links = save(set_tasks(near, exact_sets(docs, wanted)).applyInPandas(_linked(threshold), "key binary, links long, root binary"), "links")
     member = components(links)
     counted = links.groupBy("key").agg(F.sum("links").alias("n_links"))
     linked = member.join(counted, "key").join(classes.select("key", F.col("doc_id").alias("rep")), "key")

@@ -123,6 +123,42 @@ def test_second_roots_have_their_share():
     assert len({c for _, c in jaccard_join.roots(40)}) == 50
 
 
+def test_join_groups_stay_bounded(spark, monkeypatch):
+    """A node with many blocks, and block pairs with large sets."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+    monkeypatch.setattr(jaccard_join, "ROWS", 200)
+    monkeypatch.setattr(jaccard_join, "SET_ROWS", 200)
+    keys = spark.range(300).select(F.encode(F.col("id").cast("string"), "utf-8").alias("key"))
+    classes = keys.select("key", F.lit(100).alias("size"), F.encode(F.lit("s"), "utf-8").alias("sketch"))
+    nodes = keys.select("key", F.lit(0).alias("run"), F.lit(9).cast("long").alias("bucket"), F.lit(300).cast("long").alias("n"))
+    sizes = [r["count"] for r in jaccard_join.sketch_tasks(nodes, classes).count().collect()]
+    assert sum(sizes) == 300 * 60 and max(sizes) <= 2 * 200
+
+    monkeypatch.setattr(jaccard_join, "SET_BYTES", 20_000)
+    inside = keys.select(F.lit(1).cast("long").alias("bucket"), *[F.lit(0).alias(c) for c in ("a", "b", "block")], "key", F.lit(100).alias("size"))
+    block = F.pmod(F.xxhash64("key"), F.lit(2)).cast("int").alias("block")
+    across = keys.select(F.lit(2).cast("long").alias("bucket"), F.lit(0).alias("a"), F.lit(1).alias("b"), block, "key", F.lit(100).alias("size"))
+    near = inside.unionByName(across).withColumn("earlier", F.array().cast("array<long>"))
+    sets = keys.unionByName(keys).withColumn("members", F.lit(b"8" * 800))
+    grouped = jaccard_join.set_tasks(near, sets)
+    assert max(r["bytes"] for r in grouped.agg(F.sum(F.length("members")).alias("bytes")).collect()) <= 2 * 20_000
+    rows = jaccard_join.in_parts(near, jaccard_join.pair_parts(near)).toPandas()
+    met = collections.Counter()
+    for own, left, right in jaccard_join._block_pairs(rows):
+        for i, j in {(min(i, j), max(i, j)) for i in own[left] for j in own[right] if i != j}:
+            met[tuple(sorted((rows["key"][i], rows["key"][j])))] += 1
+    sides = {r["key"]: r["block"] for r in across.collect()}
+    ids = sorted(sides)
+    assert met == {(x, y): 1 + (sides[x] != sides[y]) for x, y in itertools.combinations(ids, 2)}
+
+
+def test_join_with_large_sets_equals_brute_force(spark, monkeypatch):
+    rows = list(enumerate(_near_copies(random.Random(6))))
+    monkeypatch.setattr(jaccard_join, "SET_BYTES", 4_000)
+    got = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in got} == _brute(rows)
+
+
 def _best_overlap(doc, item):
     """The stretch of highest score over all diagonals."""
     best = (0, 0)
