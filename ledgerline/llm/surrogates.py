@@ -14,6 +14,10 @@ name), and an atom gets a surrogate drawn from a keyed hash:
 * distinctness: two atoms of a kind never share a surrogate, and no surrogate is an atom found in the corpus; the losers of
   such a collision are drawn again until none is left.
 
+A phone number with a country code ends where its country's number of digits is reached (``_FIXED``). In other countries it has
+at most 15 digits and ends before an IP address, card, social security or dotted number; a plain number that follows it after
+a space counts as its last group as far as 15 digits allow, since nothing tells them apart.
+
 Scale: atoms are aggregated to distinct ones before anything is joined, so a hot entity is one row; occurrences are joined
 to surrogates by key, where a hot key can be split. Per-document maps are bounded by the document. Only texts that hold an
 entity are shuffled, to meet their map; the others pass through. Surrogates are drawn once an atom and round, in tasks of
@@ -42,8 +46,20 @@ _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,
 _CARD = r"[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![A-Za-z0-9])"
 _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9])"
 _IP = r"(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![A-Za-z0-9]|\.[0-9])"
+_GAP = r"[ .()-]{0,3}"
+#: Digits after the country code, where a country has one number of them.
+_FIXED = {10: "1|7|30|44|52|90|91", 9: "27|31|33|34|41|48|61|351|380|420", 8: "45|47|65|852"}
+_NATIONAL = "|".join(rf"(?<=\+(?:{codes})(?: ?\(0\))?{n * f'{_GAP}[0-9]'})" for n, codes in _FIXED.items())
+_AREA = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})"
+_GROUP = rf"(?:[.-]?[0-9]{{2,4}}| (?!{_IP})[0-9]{{2,4}})"
+#: As above, and after a space no card, social security or dotted number is begun.
+_PLAIN_GROUP = rf"(?:[.-]?[0-9]{{2,4}}| (?!{_IP}|{_CARD}|{_SSN}|[0-9]++\.[0-9])[0-9]{{2,4}})"
+_LONGEST = rf"(?<!{15 * f'[0-9]{_GAP}'}[0-9])"
+#: First a number of just its country's length; then one of at most 15 digits that spares the next number, else any.
 _PHONE = (
-    r"(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![A-Za-z0-9])"
+    rf"{_AREA}{_GROUP}{{2,4}}(?![A-Za-z0-9])(?:{_NATIONAL})"
+    rf"|{_AREA}{_PLAIN_GROUP}{{2,4}}(?![A-Za-z0-9]){_LONGEST}|{_AREA}{_GROUP}{{2,4}}(?![A-Za-z0-9]){_LONGEST}"
+    r"|\+[0-9]{16,23}(?![A-Za-z0-9])"
     r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9])|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![A-Za-z0-9])"
 )
 _TITLE_F = r"(?:Mrs|Ms|Miss|Mme|Madame|Frau|Sra|Señora|г-жа|Госпожа|госпожа)"

@@ -327,6 +327,21 @@ def test_surrogates_of_given_documents(spark, documents):
     assert seen and len(set(swapped.values())) == len(swapped) and not seen & set(swapped.values())
 
 
+def test_phone_ends_before_the_next_number(spark):
+    nexts = ["190.137.223.204", "4539 1488 0343 6467", "4539148803436467", "123-45-6789", "12", "2024", "3.14", "555 1234"]
+    phones = ["+1 (826) 555-4081", "+1-826-555-4081", "+1 826 555.4081", "+44 20 7946 0958", "+33 1 42 68 53 00", "+7 495 123-45-67"]
+    rows = [(p, n) for p in phones for n in nexts] + [("+49 30 901820", n) for n in nexts[:4] + ["3.14"]]
+    frame = spark.createDataFrame([(i, f"call {p} {n} now") for i, (p, n) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["found"] for r in frame.select("doc_id", surrogates.entities(F.col("text")).alias("found")).collect()}
+    for i, (phone, following) in enumerate(rows):
+        assert got[i] == [phone, following][: 2 if following in nexts[:4] else 1], rows[i]
+    alone = ["+49 30 901820", "+49 (30) 9018 20", "+358 9 1234 567", "+1 826 555 40812", "+1 555 12 34", "+49 30 9018.20", "+12345678901234567", "+86 138 0013 8000"]
+    whole = spark.createDataFrame([(a,) for a in alone], "text string").select("text", surrogates.entities(F.col("text")).alias("found"))
+    assert all(r["found"] == [r["text"]] for r in whole.collect()), whole.collect()
+    replaced = {r["doc_id"]: r["text"] for r in surrogates.pseudonymise(frame.filter("doc_id in (0, 4)")).collect()}
+    assert replaced[0].split()[1:4] == replaced[4].split()[1:4] and "223.204" not in replaced[0]
+
+
 def test_surrogates_odd_rows(odd_documents, no_documents):
     done = surrogates.pseudonymise(odd_documents)
     assert done.columns == odd_documents.columns
