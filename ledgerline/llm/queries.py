@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
-    byte_bpe, decontamination, exact_topk, jaccard_join, language_id, surrogates, token_counts, tool_calls, toxicity, warc,
+    byte_bpe, decontamination, exact_topk, jaccard_join, language_id, merkle, repeats, surrogates, token_counts, tool_calls,
+    toxicity, vector_codes, warc,
 )
 from ledgerline.llm.common import crc_mod, ship
 
@@ -79,6 +80,25 @@ def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(docs, byte_bpe.share_vocabulary(spark, VOCABULARY), PRE_TOKENS))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document once repeated passages are removed."""
+    return repeats.digests(repeats.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
+def vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    coded, books = vector_codes.compress(vectors, "vec_id", "embedding", "label")
+    return vector_codes.digests(vector_codes.label_errors(coded), books, "vec_id")
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, where line feeds were deleted from some texts since the manifest was built."""
+    found = merkle.verify_tampered(
+        _table(spark, sf_dir, "documents"), crc_mod("doc_id", 2) == 0, F.translate("text", "\n", "")
+    )
+    return found.withColumn("proof", merkle.digest(F.col("proof"))).withColumnRenamed("proof", "proof_sha256")
+
+
 REGISTRY: dict[str, Query] = {
     "op1_tool_call_linking": tool_call_linking,
     "op2_ngram_jaccard_join": ngram_jaccard_join,
@@ -90,9 +110,131 @@ REGISTRY: dict[str, Query] = {
     "op8_warc_normaliser": warc_normaliser,
     "op9_pii_surrogates": pii_surrogates,
     "op10_byte_level_bpe": byte_level_bpe,
+    "op11_substring_dedup": substring_dedup,
+    "op12_vector_codes": vector_code_compression,
+    "op13_merkle_manifest": merkle_manifest,
 }
 
+
+def _substring_dedup_sql() -> str:
+    return f"""
+        WITH d AS (
+          SELECT row_number() OVER () AS u, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        windows AS (
+          SELECT u, p, sha256(array_to_string(w[p : p + {repeats.LENGTH - 1}], ' ')) AS h
+          FROM (SELECT u, w, unnest(range(1, len(w) - {repeats.LENGTH - 2})) AS p FROM d WHERE len(w) >= {repeats.LENGTH})),
+        again AS (SELECT u, p FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+        words AS (SELECT u, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+        marked AS (
+          SELECT words.*, coalesce(max(again.p) OVER (
+                   PARTITION BY words.u ORDER BY words.p ROWS BETWEEN {repeats.LENGTH - 1} PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+          FROM words LEFT JOIN again ON again.u = words.u AND again.p = words.p),
+        kept AS (
+          SELECT u, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone) AS text
+          FROM marked GROUP BY u)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (u)"""
+
+
+def _vector_codes_sql() -> str:
+    size = "(len(e) // 8)"
+    steps = ["""
+        v AS (
+          SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""
+        s AS (
+          SELECT row_number() OVER () AS u, vec_id, label, e FROM v),
+        p AS (SELECT u, vec_id, label, k AS part, e[k * {size} + 1 : (k + 1) * {size}] AS x FROM s, range(0, 8) AS r(k))""",
+        """
+        b0 AS (
+          SELECT part, dense_rank() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM p
+          QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= 16)"""]
+
+    def nearest(book: int) -> str:
+        return f"""
+        a{book} AS (
+          SELECT u, part, x, min(entry) AS entry, min(dist) AS dist FROM (
+            SELECT p.u, p.part, p.x, b.entry, list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - b.x[i]) * (p.x[i] - b.x[i]))) AS dist
+            FROM p JOIN b{book} b ON b.part = p.part
+            QUALIFY dist = min(dist) OVER (PARTITION BY p.u, p.part))
+          GROUP BY u, part, x)"""
+
+    for i in range(vector_codes.ROUNDS):
+        steps += [nearest(i), f"""
+        m{i} AS (
+          SELECT part, entry, i, CAST(floor(sum(x[i])::HUGEINT / count(*)) AS BIGINT) AS mean FROM a{i}, range(1, 9) AS r(i)
+          WHERE i <= len(x) GROUP BY part, entry, i),
+        c{i} AS (SELECT part, entry, list(mean ORDER BY i) AS x FROM m{i} GROUP BY part, entry),
+        b{i + 1} AS (SELECT b.part, b.entry, coalesce(c.x, b.x) AS x FROM b{i} b LEFT JOIN c{i} c USING (part, entry))"""]
+    last = vector_codes.ROUNDS
+    return "WITH " + ",".join([*steps, nearest(last)]) + f""",
+        coded AS (
+          SELECT u, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a{last} GROUP BY u),
+        listed AS (
+          SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{last})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM s JOIN coded USING (u), listed"""
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text (polynomial 0xEDB88320), bit by bit."""
+    step = "lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1))"
+    byte = f"lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), {step})"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::UBIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::UBIGINT], {codes}), {byte}), 4294967295::UBIGINT)"
+
+
+def _merkle_sql(lower: int = 10, upper: int = 8) -> str:
+    """``lower`` and ``upper``: levels of the sources' trees and of the top tree (3 ** levels leaves are covered)."""
+
+    def leaf(text: str) -> str:
+        fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE octet_length(encode({f})) || ':' || {f} END" for f in fields) + ")"
+
+    # a table of ascending nodes: l<level>(tree, node, h), where trees of one node stay as they are
+    def levels(name: str, n: int) -> list[str]:
+        return [f"""
+        {name}{i} AS (
+          SELECT tree, node // 3 AS node, CASE WHEN max(m) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY node)) END AS h
+          FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS m FROM {name}{i - 1}) GROUP BY tree, node // 3)""" for i in range(1, n + 1)]
+
+    # a leaf's siblings and its fold, level by level
+    def climb(out: str, start: str, name: str, n: int) -> list[str]:
+        steps = []
+        for i in range(n):
+            before, after = (f"coalesce((SELECT string_agg(s.h, '' ORDER BY s.node) FROM {name}{i} s WHERE s.tree = c.tree "
+                             f"AND s.node // 3 = c.node // 3 AND s.node {op} c.node), '')" for op in "<>")
+            steps.append(f"""
+        {out}{i + 1} AS (
+          SELECT u, tree, node // 3 AS node, proof || b || a AS proof,
+                 CASE WHEN m = 1 THEN fold ELSE sha256(b || fold || a) END AS fold
+          FROM (SELECT c.*, (SELECT count(*) FROM {name}{i} s WHERE s.tree = c.tree) AS m, {before} AS b, {after} AS a
+                FROM {out if i else start}{i or ''} c))""")
+        return steps
+
+    steps = [f"""
+        d AS (
+          SELECT row_number() OVER () AS u, doc_id, source, {leaf('text')} AS leaf, {leaf("replace(text, chr(10), '')")} AS other,
+                 dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree FROM documents),
+        docs AS (
+          SELECT u, doc_id, leaf, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS node,
+                 CASE WHEN {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN other ELSE leaf END AS now FROM d),
+        l0 AS (SELECT tree, node, leaf AS h FROM docs)""", *levels("l", lower), f"""
+        t0 AS (SELECT 0 AS tree, tree - 1 AS node, h FROM l{lower})""", *levels("t", upper), """
+        begin AS (SELECT u, tree, node, '' AS proof, now AS fold FROM docs)""", *climb("c", "begin", "l", lower), f"""
+        middle AS (SELECT u, 0 AS tree, tree - 1 AS node, proof, fold FROM c{lower})""", *climb("e", "middle", "t", upper)]
+    return "WITH " + ",".join(steps) + f"""
+        SELECT docs.doc_id, docs.leaf, l{lower}.h AS subroot, t{upper}.h AS root, sha256(e{upper}.proof) AS proof_sha256,
+               e{upper}.fold AS folded_root, e{upper}.fold = t{upper}.h AS verified
+        FROM docs JOIN e{upper} USING (u) JOIN l{lower} ON l{lower}.tree = docs.tree, t{upper}"""
+
+
 ORACLE_SQL = {
+    "op11_substring_dedup": _substring_dedup_sql(),
+    "op12_vector_codes": _vector_codes_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
     "op1_tool_call_linking": """
         WITH RECURSIVE m AS (
           SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE role IN ('user', 'assistant', 'system')),
