@@ -38,7 +38,7 @@ KEY = "ledgerline-surrogates-1"  # the default secret; callers pass their own
 LONGER_AFTER = 16  # draws after which a surrogate may be longer than its atom, where a kind's space is exhausted
 ATOMS_A_TASK = 2000
 
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"  # a group that gives nothing back needs no stack
 _ASSIGNED = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}["']?"""
 _SECRET = r"(?<![A-Za-z0-9_])" + _ASSIGNED + r"[A-Za-z0-9_+/-]{8,}+"
 _ACCESS = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
