@@ -11,9 +11,10 @@ rows give repeated rows; columns besides ``doc_id`` and ``text`` are not read, s
 from __future__ import annotations
 
 import base64
-import heapq
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Memo, list_array, pieces
+from ledgerline.llm.common import Memo, list_array, pieces, slices
 
 KEYS_PER_BUCKET = 4
+LONGEST_MEMO = 64  # characters; longer pre-tokens are encoded anew each time, so that the memo's bytes are bounded too
 ENCODED = "doc_id long, ids array<int>"
+DECODED = ENCODED + ", decoded binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -102,29 +105,36 @@ def build_perfect_hash(ranks: dict[bytes, int]) -> PerfectHash:
 def merge(token: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: repeatedly joins the neighbouring parts of lowest rank, leftmost first."""
     n = len(token)
+    rank_of = ranks.get
     end = list(range(1, n + 1))  # end of the part that starts here; 0 once it was absorbed
     before = list(range(-1, n - 1))
-    heap = []
+    bits = n.bit_length()
+    low = (1 << bits) - 1
+    heap = []  # rank, start and end of a joined part in one number
     for i in range(n - 1):
-        rank = ranks.get(token[i : i + 2])
+        rank = rank_of(token[i : i + 2])
         if rank is not None:
-            heap.append((rank, i, i + 2))
-    heapq.heapify(heap)
+            heap.append((((rank << bits) | i) << bits) | (i + 2))
+    heapify(heap)
     while heap:
-        _, left, stop = heapq.heappop(heap)
+        first = heappop(heap)
+        stop = first & low
+        left = (first >> bits) & low
         middle = end[left]
         if not middle or middle >= n or end[middle] != stop:
             continue  # one of the two parts has changed since
-        end[left], end[middle] = stop, 0
+        end[left] = stop
+        end[middle] = 0
         if stop < n:
             before[stop] = left
-            rank = ranks.get(token[left : end[stop]])
+            rank = rank_of(token[left : end[stop]])
             if rank is not None:
-                heapq.heappush(heap, (rank, left, end[stop]))
-        if (prior := before[left]) >= 0:
-            rank = ranks.get(token[prior:stop])
+                heappush(heap, (((rank << bits) | left) << bits) | end[stop])
+        prior = before[left]
+        if prior >= 0:
+            rank = rank_of(token[prior:stop])
             if rank is not None:
-                heapq.heappush(heap, (rank, prior, stop))
+                heappush(heap, (((rank << bits) | prior) << bits) | stop)
     ids, at = [], 0
     while at < n:
         ids.append(ranks[token[at : end[at]]])
@@ -138,21 +148,38 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], table: PerfectHash, pattern: str):
         self.split = regex.compile(pattern).findall
         self.ranks, self.table = ranks, table
-        self.token = {i: t for t, i in ranks.items()}
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, i in ranks.items():
+            tokens[i] = token
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.stop = np.cumsum([len(t) for t in tokens], dtype=np.int64)
+        self.size = np.diff(self.stop, prepend=0)
         self.memo = Memo(self.ids_of)
 
     def ids_of(self, piece: str) -> bytes:
         """The ids of one pre-token as packed 32-bit integers."""
         token = piece.encode()
         whole = self.table.get(token)
-        return np.array([whole] if whole is not None else merge(token, self.ranks), np.int32).tobytes()
+        return array("i", (whole,) if whole is not None else merge(token, self.ranks)).tobytes()
 
-    def encode(self, text: str | None) -> np.ndarray:
-        packed = b"".join(map(self.memo.__getitem__, self.split(text))) if text else b""
-        return np.frombuffer(packed, np.int32)
+    def ids_of_long(self, piece: str) -> bytes:
+        return self.ids_of(piece) if len(piece) > LONGEST_MEMO else self.memo[piece]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+    def encode(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.empty(0, np.int32)
+        pieces = self.split(text)
+        own = self.memo.__getitem__ if max(map(len, pieces), default=0) <= LONGEST_MEMO else self.ids_of_long
+        return np.frombuffer(b"".join(map(own, pieces)), np.int32)
+
+    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> pa.BinaryArray:
+        """The bytes of many id lists at once, laid end to end in ``ids`` and cut at ``cuts`` (one more than lists)."""
+        size = self.size[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.stop[ids] - ends[1:], size) + np.arange(ends[-1])
+        offsets = pa.py_buffer(ends[cuts].astype(np.int64))
+        whole = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(self.bytes[at])])
+        return whole.cast(pa.binary())
 
 
 _CODECS: dict[tuple[int, str], Codec] = {}  # one per worker process
@@ -189,20 +216,28 @@ def decode(encoded: DataFrame, vocabulary, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary, pattern)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                decoded = [codec.decode(x.values.to_pylist()) if x.is_valid else b"" for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(decoded, pa.binary())], names=["doc_id", "ids", "decoded"]
-                )
+        for batch in slices(batches, 64):
+            yield _decoded(codec, batch.column(0), batch.column(1))
+
+    return encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(run, DECODED)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, ENCODED + ", decoded binary")
+
+def _decoded(codec: Codec, doc_id: pa.Array, ids: pa.ListArray) -> pa.RecordBatch:
+    offsets = ids.offsets.to_numpy().astype(np.int64)
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    return pa.RecordBatch.from_arrays([doc_id, ids, codec.decode(flat, offsets - offsets[0])], names=["doc_id", "ids", "decoded"])
 
 
 def round_trip(docs: DataFrame, vocabulary, pattern: str) -> DataFrame:
-    """``doc_id, ids, decoded``: encodes every text, then decodes the ids."""
-    return decode(encode(docs, vocabulary, pattern), vocabulary, pattern)
+    """``doc_id, ids, decoded``: encodes every text, then decodes the ids, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(vocabulary, pattern)
+        for batch in pieces(batches, 1):
+            ids = [codec.encode(t) for t in batch.column(1).to_pylist()]
+            yield _decoded(codec, batch.column(0), list_array(ids, pa.int32()))
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, DECODED)
 
 
 def digests(coded: DataFrame) -> DataFrame:
