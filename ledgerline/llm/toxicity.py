@@ -4,7 +4,8 @@ Features are the hashed character n-grams inside the words of a text (present or
 ratio of its smoothed counts in toxic and other documents, and a logistic regression is fitted on the scaled features.
 
 Scale: fitting uses at most about ``per_class`` labelled documents a class (drawn by hash from exact counts, and weighted
-back to the classes' true shares); counts and the regression run in Spark, and only ``2 ** BITS`` numbers reach the driver.
+back to the classes' true shares). Counts, ratios and the regression run in Spark; the driver gets the features with a
+ratio, numbered densely for the regression. Its two settings are chosen by a split of the learnable rows.
 Scoring is one pass without a shuffle over whole texts.
 
 Defined results: null and empty texts have no feature and get the score of the intercept; null labels are not
@@ -21,17 +22,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.llm.common import Memo, list_array, pieces, save
+from ledgerline.llm.common import Memo, list_array, pieces, save, slices
 
 BITS = 18
 LENGTHS = (3, 4, 5, 6)
 PER_CLASS = 3000
-SIGNIFICANT = 3.0
-REGULARISATION = 1e-4
+SIGNIFICANT = (3.0, 2.0, 4.0)  # standard errors; of these settings the one that does best on learnable rows is taken
+REGULARISATION = (1e-4, 1e-3)
+CHECKED = 5  # one in so many learnable rows is kept back to choose the setting
 ITERATIONS = 30
 
 
@@ -77,18 +80,21 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
 
 
-def log_count_ratios(counts) -> np.ndarray:
-    """Smoothed log ratio of each feature's share among toxic and among other documents, from rows of ``label``,
-    ``feature`` and ``n``; 0 where the ratio lies within ``SIGNIFICANT`` standard errors of none, as it does for nearly
-    all features of unrelated words, so that long texts don't add up their noise."""
-    ratio, variance = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for label, sign in ((1.0, 1), (0.0, -1)):
-        own = counts[counts["label"] == label]
-        dense = np.ones(1 << BITS)
-        dense[own["feature"].to_numpy()] += own["n"].to_numpy()
-        ratio += sign * np.log(dense / dense.sum())
-        variance += 1 / dense
-    return np.where(np.abs(ratio) > SIGNIFICANT * np.sqrt(variance), ratio, 0.0)
+def log_count_ratios(rows: DataFrame, significant: float) -> tuple[np.ndarray, np.ndarray]:
+    """Features and their smoothed log ratio of shares among toxic and among other documents, from rows of ``label`` and
+    ``found``; without those whose ratio lies within ``significant`` standard errors of none, as it does for nearly all
+    features of unrelated words, so that long texts don't add up their noise."""
+    counts = rows.select("label", F.explode("found").alias("feature")).groupBy("feature").agg(
+        (F.sum("label") + 1).alias("toxic"), (F.sum(1 - F.col("label")) + 1).alias("other")
+    )
+    counts = save(counts, "toxicity-counts")  # at most 2 ** BITS rows
+    total = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.count(F.lit(1)).alias("n")).first()
+    unseen = (1 << BITS) - total["n"]  # each counts as one
+    shift = float(np.log(((total["toxic"] or 0) + unseen) / ((total["other"] or 0) + unseen)))
+    ratio = F.log(F.col("toxic") / F.col("other")) - F.lit(shift)
+    error = F.sqrt(1 / F.col("toxic") + 1 / F.col("other"))
+    found = counts.select("feature", ratio.alias("ratio")).filter(F.abs(ratio) > significant * error).orderBy("feature").collect()
+    return np.array([r["feature"] for r in found], np.int64), np.array([r["ratio"] for r in found], float)
 
 
 def _extract(batches):
@@ -100,7 +106,6 @@ def _extract(batches):
 
 def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS) -> Classifier:
     """A classifier of the labelled rows of ``docs`` where ``learnable`` (over ``labels.doc_id``) holds."""
-    spark = docs.sparkSession
     known = (
         labels.filter(learnable & F.col("toxic").isNotNull())
         .groupBy("doc_id")
@@ -122,23 +127,79 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int =
         ),
         "toxicity-sample",
     )
-    counts = (
-        rows.select("label", F.explode("found").alias("feature"))
-        .groupBy("label", "feature")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .toPandas()  # at most 2 ** (BITS + 1) rows
-    )
-    if counts["label"].nunique() < 2:
+    if rows.agg(F.count_distinct("label").alias("n")).first()["n"] < 2:
         total = sum(sizes.values())
         return Classifier(np.zeros(1 << BITS), float(np.log(sizes[1.0] / total) - np.log(sizes[0.0] / total)))
-    ratio = log_count_ratios(counts)
-    shared = spark.sparkContext.broadcast(ratio)
-    scaled = F.udf(lambda found: SparseVector(1 << BITS, found, shared.value[found]), VectorUDT())
+    significant, regularisation = _chosen(rows)
+    return _regression(Scaled(rows, significant), regularisation)
+
+
+def _chosen(rows: DataFrame) -> tuple[float, float]:
+    """The setting of ``SIGNIFICANT`` and ``REGULARISATION`` with the least log loss on ``CHECKED`` of the learnable rows
+    when learned from the others; the first of equal ones."""
+    kept_back = F.pmod(F.xxhash64("found"), F.lit(CHECKED)) == 0  # equal texts fall to the same side
+    checked, others = rows.filter(kept_back), rows.filter(~kept_back)
+    if others.agg(F.count_distinct("label").alias("n")).first()["n"] < 2:
+        return SIGNIFICANT[0], REGULARISATION[0]
+    losses = {}
+    for significant in SIGNIFICANT:
+        scaled = Scaled(others, significant)
+        for regularisation in REGULARISATION:
+            losses[significant, regularisation] = _loss(checked, _regression(scaled, regularisation))
+    return min(losses, key=losses.__getitem__)
+
+
+def _loss(rows: DataFrame, model: Classifier) -> float:
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in slices(batches):
+            weights, intercept = shared.value.weights, shared.value.intercept
+            margin = np.array([weights[x.values.to_numpy()].sum() + intercept for x in batch.column(2)])
+            label, weight = (batch.column(k).to_numpy() for k in (0, 1))
+            lost = weight * np.logaddexp(0, np.where(label > 0, -margin, margin))
+            yield pa.RecordBatch.from_arrays([pa.array(lost)], names=["lost"])
+
+    return rows.select("label", "weight", "found").mapInArrow(run, "lost double").agg(F.sum("lost").alias("lost")).first()["lost"] or 0.0
+
+
+class Scaled:
+    """Written rows ``label, weight, x``: the features with a ratio, numbered densely and scaled by it."""
+
+    def __init__(self, rows: DataFrame, significant: float):
+        self.features, self.ratio = log_count_ratios(rows, significant)
+        shared = rows.sparkSession.sparkContext.broadcast((self.features, self.ratio))
+
+        def run(batches):
+            features, ratio = shared.value
+            for batch in slices(batches):
+                vectors = []
+                for found in batch.column(2):
+                    own = found.values.to_numpy()
+                    at = np.searchsorted(features, own[np.isin(own, features)])
+                    vectors.append({"type": 0, "size": len(features), "indices": at, "values": ratio[at]})
+                columns = [batch.column(0), batch.column(1), pa.array(vectors, _SPARSE)]
+                yield pa.RecordBatch.from_arrays(columns, names=["label", "weight", "x"])
+
+        kind = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("weight", T.DoubleType()), T.StructField("x", VectorUDT())])
+        self.rows = save(rows.select("label", "weight", "found").mapInArrow(run, kind), "toxicity-vectors")
+
+
+def _regression(scaled: Scaled, regularisation: float) -> Classifier:
+    weights = np.zeros(1 << BITS)
+    if not len(scaled.features):
+        share = scaled.rows.agg((F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("share")).first()["share"]
+        return Classifier(weights, float(np.log(share / (1 - share))))
     regression = LogisticRegression(
-        featuresCol="x", labelCol="label", weightCol="weight", maxIter=ITERATIONS, regParam=REGULARISATION, standardization=False
+        featuresCol="x", labelCol="label", weightCol="weight", maxIter=ITERATIONS, regParam=regularisation, standardization=False
     )
-    model = regression.fit(rows.select("label", "weight", scaled("found").alias("x")))
-    return Classifier(model.coefficients.toArray() * ratio, float(model.intercept))
+    model = regression.fit(scaled.rows)
+    weights[scaled.features] = model.coefficients.toArray() * scaled.ratio
+    return Classifier(weights, float(model.intercept))
+
+
+#: A sparse vector as ``VectorUDT`` stores it.
+_SPARSE = pa.struct([("type", pa.int8()), ("size", pa.int32()), ("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
 
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:
