@@ -7,9 +7,10 @@ has now. A row is verified when the fold ends in the stored root.
 
 Scale: texts are read once and become digests at once. Positions inside a group come from one range partitioning and the
 counts of its partitions, so a group that holds a third of all rows is spread over many tasks. A level is one aggregation
-of at most ``FANOUT`` rows a key and has a third of the rows below it; the driver counts levels, never nodes. The climb
-has two recursions: the lower joins the levels of many nodes by shuffle, while proofs are short; the upper broadcasts the
-levels that together have at most ``BROADCAST_NODES`` nodes, a bound checked on their count.
+of at most ``FANOUT`` rows a key and has a third of the rows below it; the driver counts levels, never nodes. Each step of
+the recursion deals its rows out anew, so it climbs ``STRIDE`` levels and its rows are a number, a digest and a proof in
+bytes. The climb has two recursions: the lower joins the levels of many nodes by shuffle, while proofs are short; the
+upper broadcasts the levels that together have at most ``BROADCAST_NODES`` nodes, a bound checked on their count.
 
 Defined results: a null field enters the leaf as ``-``; null groups are one group, the first; within a group null ids
 come first, and rows of one id are ordered by their leaf digest; repeated rows are leaves of their own; an empty table
@@ -31,7 +32,8 @@ from pyspark.sql.window import Window
 from ledgerline.llm.common import save
 
 FANOUT = 3
-BROADCAST_NODES = 200_000
+BROADCAST_NODES = 1 << 16  # nodes of the upper climb, and rows of a side whose count is checked
+STRIDE = 4  # levels a step of the recursion climbs: each step's rows are dealt out anew, with their proofs so far
 LEVEL_BITS = 48
 LEVEL = 1 << LEVEL_BITS  # a node's number in its tree: level * LEVEL + position; numbers grow towards the root
 TOP, TOP_LEVEL = 0, 64  # the tree over the groups' roots and its lowest level; groups' trees count from 1
@@ -90,8 +92,8 @@ def _level_above(children: DataFrame, carried: Sequence[str] = ()) -> tuple[Data
     runs = save(runs.select("tree", n, parent.alias("parent"), "own", digest(_text(digests)).alias("up")), "merkle-runs")
     linked = runs.select("tree", "parent", digests.alias("all"), F.posexplode("own").alias("slot", "child")).select(
         "tree", "child.node", "child.digest", F.col("tree").alias("parent_tree"), "parent",
-        _text(F.slice("all", F.lit(1), F.col("slot"))).alias("before"),
-        _text(F.slice("all", F.col("slot") + 2, F.lit(FANOUT))).alias("after"), *[f"child.{c}" for c in carried],
+        F.unhex(_text(F.slice("all", F.lit(1), F.col("slot")))).alias("before"),
+        F.unhex(_text(F.slice("all", F.col("slot") + 2, F.lit(FANOUT)))).alias("after"), *[f"child.{c}" for c in carried],
     )
     return linked, runs.select("tree", F.col("parent").alias("node"), F.col("up").alias("digest"), "n")
 
@@ -151,30 +153,48 @@ def build(rows: DataFrame, group: str, order: Sequence[Column], leaf: str, carri
         place = (F.col("node") - F.lit(TOP_LEVEL) * LEVEL + 1).alias("tree")
         joints = subroots.join(_side(save(upper[0].select(place, *up), "merkle-places")), "tree")
     else:
-        joints = subroots.select("*", *[F.lit(None).cast(t).alias(c) for c, t in zip(up, ("long", "long", "string", "string"))])
+        joints = subroots.select("*", *[F.lit(None).cast(t).alias(c) for c, t in zip(up, ("long", "long", "binary", "binary"))])
     joints = save(joints, "merkle-joints")
     leaves = _union([joints.filter(F.col("node") < LEVEL), *lower[:1]])  # the root of a group of one row is its leaf
+    leaves = leaves.withColumn("row", F.monotonically_increasing_id())  # once written, the climb's key
     nodes = _union([x.select("tree", "node", *up) for x in (joints.filter(F.col("node") >= LEVEL), *lower[1:], *upper[1:])])
     return Manifest(save(leaves, "merkle-leaves-linked"), save(nodes, "merkle-nodes"), subroots, (root if upper else subroots).first())
 
 
-def _ascend(start: DataFrame, nodes: DataFrame, ended: str, hint: str = "") -> DataFrame:
-    """Climbs from ``start``'s nodes, whose digest is ``folded`` by now, through ``nodes``; the rows that have ``ended``."""
+def _strides(nodes: DataFrame) -> DataFrame:
+    """``tree, node`` and the next ``STRIDE`` steps up from it (fewer at the root): ``path`` of siblings and where it ends."""
+    step = F.array(F.struct("before", "after"))
+    out = nodes.select("tree", "node", F.col("parent_tree").alias("to_tree"), F.col("parent").alias("to_node"), step.alias("path"))
+    above = nodes.select(
+        F.col("tree").alias("_tree"), F.col("node").alias("_node"), F.col("parent_tree").alias("_to_tree"),
+        F.col("parent").alias("_to_node"), step.alias("_step"),
+    )
+    for _ in range(STRIDE - 1):
+        on = (F.col("to_tree") == F.col("_tree")) & (F.col("to_node") == F.col("_node"))
+        more = F.when(F.col("_step").isNull(), F.col("path")).otherwise(F.concat("path", F.col("_step")))
+        ends = [F.coalesce(f"_{c}", c).alias(c) for c in ("to_tree", "to_node")]
+        out = out.join(above, on, "left").select("tree", "node", *ends, more.alias("path"))
+    return out
+
+
+def _ascend(start: DataFrame, strides: DataFrame, ended: str, hint: str = "") -> DataFrame:
+    """Climbs from ``start``'s nodes, whose digest is ``folded`` by now, up the ``strides``; the rows that have ``ended``."""
     spark = start.sparkSession
-    carried = [c for c in start.columns if c not in ("tree", "node", "folded", "proof")]
     views = [f"merkle_{uuid.uuid4().hex}" for _ in range(2)]
-    for view, df in zip(views, (start, nodes)):
+    for view, df in zip(views, (start, strides)):
         df.createOrReplaceTempView(view)
+    # every leaf climbs to the root: no limit on the recursion's rows
+    fold = "unhex(sha2(CAST(lower(concat(hex(s.before), hex(f), hex(s.after))) AS BINARY), 256))"
     try:
         return spark.sql(
             f"""
-            WITH RECURSIVE climb({', '.join(carried)}, tree, node, folded, proof) AS (
-              SELECT {', '.join(carried)}, tree, node, folded, proof FROM {views[0]}
+            WITH RECURSIVE climb(row, tree, node, folded, proof) AS (
+              SELECT row, tree, node, folded, proof FROM {views[0]}
               UNION ALL
-              SELECT {hint} {', '.join('c.' + x for x in carried)}, n.parent_tree, n.parent,
-                     sha2(CAST(concat(n.before, c.folded, n.after) AS BINARY), 256), concat(c.proof, n.before, n.after)
+              SELECT {hint} c.row, n.to_tree, n.to_node, aggregate(n.path, c.folded, (f, s) -> {fold}),
+                     aggregate(n.path, c.proof, (p, s) -> concat(p, s.before, s.after))
               FROM climb c JOIN {views[1]} n ON n.tree = c.tree AND n.node = c.node)
-            SELECT * FROM climb WHERE {ended}"""
+            SELECT * FROM (SELECT * FROM climb LIMIT ALL) WHERE {ended}"""
         )
     finally:
         for view in views:
@@ -197,33 +217,28 @@ def _cut(nodes: DataFrame) -> int:
 def prove(manifest: Manifest, now: str, carried: Sequence[str]) -> DataFrame:
     """``carried`` columns, ``leaf``, ``subroot``, ``root``, ``proof`` (sibling digests up to the root), ``folded_root``
     of the digest in column ``now`` and whether it is ``verified``."""
-    spark = manifest.leaves.sparkSession
+    leaves = manifest.leaves
     lone = F.col("parent").isNull()  # the dataset is one row
-    start = manifest.leaves.select(
-        *carried, F.col("digest").alias("leaf"), F.col("tree").alias("own_tree"),
-        F.coalesce("parent_tree", "tree").alias("tree"), F.coalesce("parent", "node").alias("node"),
-        F.when(lone, F.col(now)).otherwise(digest(F.concat("before", F.col(now), "after"))).alias("folded"),
-        F.when(lone, F.lit("")).otherwise(F.concat("before", "after")).alias("proof"),
+    fold = digest(F.lower(F.concat(F.hex("before"), F.hex(F.unhex(F.col(now))), F.hex("after"))))
+    start = leaves.select(
+        "row", F.coalesce("parent_tree", "tree").alias("tree"), F.coalesce("parent", "node").alias("node"),
+        F.unhex(F.when(lone, F.col(now)).otherwise(fold)).alias("folded"),
+        F.when(lone, F.lit(b"")).otherwise(F.concat("before", "after")).alias("proof"),
     )
-    nodes = manifest.nodes.filter(F.col("parent").isNotNull())
+    strides = save(_strides(manifest.nodes.filter(F.col("parent").isNotNull())), "merkle-strides")
     cut = _cut(manifest.nodes)
-    limit = "spark.sql.cteRecursionRowLimit"  # every leaf climbs every level: the rows follow the input
-    earlier = spark.conf.get(limit, None)
-    try:
-        spark.conf.set(limit, "-1")
-        low, high = nodes.filter(F.col("node") < cut), nodes.filter(F.col("node") >= cut)
-        if cut > LEVEL:
-            start = save(_ascend(start, low, f"node >= {cut}"), "merkle-climbed")
-        # the count of ``high`` is checked
-        at_root = f"tree = {manifest.root['tree']} AND node = {manifest.root['node']}"
-        climbed = save(_ascend(start, high, at_root, "/*+ BROADCAST(n) */"), "merkle-proofs")
-    finally:
-        spark.conf.unset(limit) if earlier is None else spark.conf.set(limit, earlier)
-    subroots = _side(manifest.subroots.select(F.col("tree").alias("own_tree"), F.col("digest").alias("subroot")))
+    if cut > LEVEL:
+        start = save(_ascend(start, strides.filter(F.col("node") < cut), f"node >= {cut}"), "merkle-climbed")
+    at_root = f"tree = {manifest.root['tree']} AND node = {manifest.root['node']}"
+    # the count of the nodes from ``cut`` on is checked
+    climbed = _ascend(start, strides.filter(F.col("node") >= cut), at_root, "/*+ BROADCAST(n) */")
+    climbed = climbed.select(F.col("row").alias("_row"), "folded", "proof")
+    subroots = _side(manifest.subroots.select(F.col("tree").alias("_own"), F.col("digest").alias("subroot")))
     root = F.lit(manifest.root["digest"])
-    return climbed.join(subroots, "own_tree").select(
-        *carried, "leaf", "subroot", root.alias("root"), "proof", F.col("folded").alias("folded_root"),
-        (F.col("folded") == root).alias("verified"),
+    rows = leaves.select("row", *carried, F.col("digest").alias("leaf"), "tree").join(subroots, F.col("tree") == F.col("_own"))
+    return rows.join(climbed, F.col("row") == F.col("_row")).select(
+        *carried, "leaf", "subroot", root.alias("root"), F.lower(F.hex("proof")).alias("proof"),
+        F.lower(F.hex("folded")).alias("folded_root"), (F.lower(F.hex("folded")) == root).alias("verified"),
     )
 
 
