@@ -8,8 +8,7 @@ has now. A row is verified when the fold ends in the stored root.
 Scale: texts are read once and become digests at once. Positions inside a group come from one range partitioning and the
 counts of its partitions, so a group that holds a third of all rows is spread over many tasks. A level is one aggregation
 of at most ``FANOUT`` rows a key and has a third of the rows below it; the driver counts levels, never nodes. Each step of
-the recursion deals its rows out anew, so it climbs ``STRIDE`` levels and its rows are a number, a digest and a proof in
-bytes. The climb has two recursions: the lower joins the levels of many nodes by shuffle, while proofs are short; the
+the recursion deals its rows out anew, so it climbs ``2 ** DOUBLINGS`` levels and its digests and proofs are bytes. The climb has two recursions: the lower joins the levels of many nodes by shuffle, while proofs are short; the
 upper broadcasts the levels that together have at most ``BROADCAST_NODES`` nodes, a bound checked on their count.
 
 Defined results: a null field enters the leaf as ``-``; null groups are one group, the first; within a group null ids
@@ -32,8 +31,9 @@ from pyspark.sql.window import Window
 from ledgerline.llm.common import save
 
 FANOUT = 3
-BROADCAST_NODES = 1 << 16  # nodes of the upper climb, and rows of a side whose count is checked
-STRIDE = 4  # levels a step of the recursion climbs: each step's rows are dealt out anew, with their proofs so far
+BROADCAST_NODES = 1 << 12  # nodes of the upper climb
+BROADCAST_ROWS = 1 << 16  # rows of another side whose count is checked
+DOUBLINGS = 3  # a step of the recursion climbs 2 ** DOUBLINGS levels: its rows are dealt out anew, with their proofs so far
 LEVEL_BITS = 48
 LEVEL = 1 << LEVEL_BITS  # a node's number in its tree: level * LEVEL + position; numbers grow towards the root
 TOP, TOP_LEVEL = 0, 64  # the tree over the groups' roots and its lowest level; groups' trees count from 1
@@ -53,7 +53,7 @@ def leaf_digest(fields: Sequence[Column]) -> Column:
     return digest(F.concat(*parts))
 
 
-def _side(df: DataFrame, rows: int = BROADCAST_NODES) -> DataFrame:
+def _side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A written table as a broadcast side while it has at most ``rows`` rows; otherwise joined by shuffle."""
     return F.broadcast(df) if df.count() <= rows else df
 
@@ -156,30 +156,30 @@ def build(rows: DataFrame, group: str, order: Sequence[Column], leaf: str, carri
         joints = subroots.select("*", *[F.lit(None).cast(t).alias(c) for c, t in zip(up, ("long", "long", "binary", "binary"))])
     joints = save(joints, "merkle-joints")
     leaves = _union([joints.filter(F.col("node") < LEVEL), *lower[:1]])  # the root of a group of one row is its leaf
-    leaves = leaves.withColumn("row", F.monotonically_increasing_id())  # once written, the climb's key
     nodes = _union([x.select("tree", "node", *up) for x in (joints.filter(F.col("node") >= LEVEL), *lower[1:], *upper[1:])])
     return Manifest(save(leaves, "merkle-leaves-linked"), save(nodes, "merkle-nodes"), subroots, (root if upper else subroots).first())
 
 
 def _strides(nodes: DataFrame) -> DataFrame:
-    """``tree, node`` and the next ``STRIDE`` steps up from it (fewer at the root): ``path`` of siblings and where it ends."""
-    step = F.array(F.struct("before", "after"))
-    out = nodes.select("tree", "node", F.col("parent_tree").alias("to_tree"), F.col("parent").alias("to_node"), step.alias("path"))
-    above = nodes.select(
-        F.col("tree").alias("_tree"), F.col("node").alias("_node"), F.col("parent_tree").alias("_to_tree"),
-        F.col("parent").alias("_to_node"), step.alias("_step"),
+    """``tree, node`` and the next ``2 ** DOUBLINGS`` steps up from it (fewer at the root): the ``path`` of siblings and
+    where it ends, found by joining paths to the paths that go on where they end."""
+    out = nodes.select(
+        "tree", "node", F.col("parent_tree").alias("to_tree"), F.col("parent").alias("to_node"),
+        F.array(F.struct("before", "after")).alias("path"),
     )
-    for _ in range(STRIDE - 1):
-        on = (F.col("to_tree") == F.col("_tree")) & (F.col("to_node") == F.col("_node"))
-        more = F.when(F.col("_step").isNull(), F.col("path")).otherwise(F.concat("path", F.col("_step")))
-        ends = [F.coalesce(f"_{c}", c).alias(c) for c in ("to_tree", "to_node")]
-        out = out.join(above, on, "left").select("tree", "node", *ends, more.alias("path"))
+    for _ in range(DOUBLINGS):
+        on = (F.col("a.to_tree") == F.col("b.tree")) & (F.col("a.to_node") == F.col("b.node"))
+        path = F.when(F.col("b.node").isNull(), F.col("a.path")).otherwise(F.concat("a.path", "b.path"))
+        ends = [F.coalesce(f"b.{c}", f"a.{c}").alias(c) for c in ("to_tree", "to_node")]
+        out = out.alias("a").join(out.alias("b"), on, "left").select("a.tree", "a.node", *ends, path.alias("path"))
+        out = save(out, "merkle-strides")
     return out
 
 
 def _ascend(start: DataFrame, strides: DataFrame, ended: str, hint: str = "") -> DataFrame:
     """Climbs from ``start``'s nodes, whose digest is ``folded`` by now, up the ``strides``; the rows that have ``ended``."""
     spark = start.sparkSession
+    carried = [c for c in start.columns if c not in ("tree", "node", "folded", "proof")]
     views = [f"merkle_{uuid.uuid4().hex}" for _ in range(2)]
     for view, df in zip(views, (start, strides)):
         df.createOrReplaceTempView(view)
@@ -188,11 +188,12 @@ def _ascend(start: DataFrame, strides: DataFrame, ended: str, hint: str = "") ->
     try:
         return spark.sql(
             f"""
-            WITH RECURSIVE climb(row, tree, node, folded, proof) AS (
-              SELECT row, tree, node, folded, proof FROM {views[0]}
+            WITH RECURSIVE climb({', '.join(carried)}, tree, node, folded, proof) AS (
+              SELECT {', '.join(carried)}, tree, node, folded, proof FROM {views[0]}
               UNION ALL
-              SELECT {hint} c.row, n.to_tree, n.to_node, aggregate(n.path, c.folded, (f, s) -> {fold}),
-                     aggregate(n.path, c.proof, (p, s) -> concat(p, s.before, s.after))
+              SELECT {hint} {', '.join('c.' + x for x in carried)}, n.to_tree, n.to_node,
+                     aggregate(n.path, c.folded, (f, s) -> {fold}),
+                     concat(c.proof, unhex(array_join(transform(n.path, s -> concat(hex(s.before), hex(s.after))), '')))
               FROM climb c JOIN {views[1]} n ON n.tree = c.tree AND n.node = c.node)
             SELECT * FROM (SELECT * FROM climb LIMIT ALL) WHERE {ended}"""
         )
@@ -217,28 +218,27 @@ def _cut(nodes: DataFrame) -> int:
 def prove(manifest: Manifest, now: str, carried: Sequence[str]) -> DataFrame:
     """``carried`` columns, ``leaf``, ``subroot``, ``root``, ``proof`` (sibling digests up to the root), ``folded_root``
     of the digest in column ``now`` and whether it is ``verified``."""
-    leaves = manifest.leaves
     lone = F.col("parent").isNull()  # the dataset is one row
     fold = digest(F.lower(F.concat(F.hex("before"), F.hex(F.unhex(F.col(now))), F.hex("after"))))
-    start = leaves.select(
-        "row", F.coalesce("parent_tree", "tree").alias("tree"), F.coalesce("parent", "node").alias("node"),
+    start = manifest.leaves.select(
+        *carried, F.unhex("digest").alias("leaf"), F.col("tree").alias("own_tree"),
+        F.coalesce("parent_tree", "tree").alias("tree"), F.coalesce("parent", "node").alias("node"),
         F.unhex(F.when(lone, F.col(now)).otherwise(fold)).alias("folded"),
         F.when(lone, F.lit(b"")).otherwise(F.concat("before", "after")).alias("proof"),
     )
-    strides = save(_strides(manifest.nodes.filter(F.col("parent").isNotNull())), "merkle-strides")
+    strides = _strides(manifest.nodes.filter(F.col("parent").isNotNull()))
     cut = _cut(manifest.nodes)
     if cut > LEVEL:
         start = save(_ascend(start, strides.filter(F.col("node") < cut), f"node >= {cut}"), "merkle-climbed")
     at_root = f"tree = {manifest.root['tree']} AND node = {manifest.root['node']}"
     # the count of the nodes from ``cut`` on is checked
     climbed = _ascend(start, strides.filter(F.col("node") >= cut), at_root, "/*+ BROADCAST(n) */")
-    climbed = climbed.select(F.col("row").alias("_row"), "folded", "proof")
-    subroots = _side(manifest.subroots.select(F.col("tree").alias("_own"), F.col("digest").alias("subroot")))
+    subroots = _side(manifest.subroots.select(F.col("tree").alias("own_tree"), F.col("digest").alias("subroot")))
     root = F.lit(manifest.root["digest"])
-    rows = leaves.select("row", *carried, F.col("digest").alias("leaf"), "tree").join(subroots, F.col("tree") == F.col("_own"))
-    return rows.join(climbed, F.col("row") == F.col("_row")).select(
-        *carried, "leaf", "subroot", root.alias("root"), F.lower(F.hex("proof")).alias("proof"),
-        F.lower(F.hex("folded")).alias("folded_root"), (F.lower(F.hex("folded")) == root).alias("verified"),
+    folded = F.lower(F.hex("folded"))
+    return climbed.join(subroots, "own_tree").select(
+        *carried, F.lower(F.hex("leaf")).alias("leaf"), "subroot", root.alias("root"), F.lower(F.hex("proof")).alias("proof"),
+        folded.alias("folded_root"), (folded == root).alias("verified"),
     )
 
 
@@ -258,4 +258,4 @@ def verify_tampered(docs: DataFrame, tampered: Column, altered_text: Column) ->
     if manifest.root is None:
         text = [F.lit(None).cast("string").alias(c) for c in ("leaf", "subroot", "root", "proof", "folded_root")]
         return rows.limit(0).select("doc_id", *text, F.lit(None).cast("boolean").alias("verified"))
-    return prove(manifest, "now", ["doc_id", "now"]).drop("now")
+    return prove(manifest, "now", ["doc_id"])
