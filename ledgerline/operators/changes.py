@@ -3,12 +3,13 @@
 A source row is appended to the raw version log when it differs (as text, NULL equal to
 NULL) from the previous version of its key: the previous row of the same key in file order,
 or for the first such row the latest stored version. Dated tables only look at rows whose
-business date is inside the look-back window (``max(stored date) - days``, inclusive).
+business date is inside the look-back window (``max(stored date) - days``, inclusive); a row without a readable date has
+no place in any window and is refused by every load, the first included.
 
-Scale: the previous-row comparison is a window per (key, source file); the hand-over between
-files is a second window over one summary row per (key, file). A key holding a third of a
-snapshot therefore costs one sort per file it appears in, never one task for the whole key,
-and the stored versions are joined only to those summary rows.
+Scale: stored versions and new rows go through one window together, by key. Keys with more than ``HEAVY_ROWS`` new rows
+are found by a count before it (map-side sums, one number a key) and cut into runs of ``RUN_ROWS`` positions, so that a
+key holding a third of a snapshot is spread over many tasks; the last row of each run is then handed to the next, a few
+rows a heavy key. Without heavy keys, as usual, the rows are exchanged once.
 """
 
 from __future__ import annotations
@@ -21,10 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.operators.versions import latest_version
 from ledgerline.schemas import INGEST_SEQ, LOADED_AT
 
-FILE_SHIFT = 33  # ingest_seq = file_index << 33 | row position inside the file's task
+FILE_SHIFT = 33  # ingest_seq = file_index << 33 | number of the record's first line
+HEAVY_ROWS = 1_000_000  # new rows of one key that a task may hold
+RUN_ROWS = 1_000_000
 
 
 def _day(c: str) -> Column:
@@ -51,10 +55,11 @@ def cutoff_date(raw: DataFrame | None, date_col: str | None, days: int) -> dt.da
 def within_lookback(df: DataFrame, date_col: str | None, cutoff: dt.date | None) -> DataFrame:
     """Rows dated on or after the cutoff; every row when there is no cutoff. A row without a readable date cannot be
     placed in the window and raises."""
-    if cutoff is None or date_col is None:
+    if date_col is None:
         return df
     undated = F.raise_error(F.lit(f"a row without a readable {date_col}")).cast("boolean")
-    return df.filter(F.coalesce(_day(date_col) >= F.lit(cutoff), undated))
+    inside = _day(date_col).isNotNull() if cutoff is None else _day(date_col) >= F.lit(cutoff)
+    return df.filter(F.when(_day(date_col).isNull(), undated).otherwise(inside))
 
 
 def latest_stored(
@@ -66,10 +71,6 @@ def latest_stored(
     return latest_version(within_lookback(raw, date_col, cutoff), keys)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def _same(a: str, b: str, columns: Sequence[str]) -> Column:
     """Row ``a`` equals row ``b`` column by column, NULL equal to NULL; a missing ``b`` differs."""
     eq = reduce(lambda x, y: x & y, [F.col(a)[c].eqNullSafe(F.col(b)[c]) for c in columns])
@@ -85,32 +86,30 @@ def new_or_changed(
 ) -> DataFrame:
     """Source rows (with ``seq_col``) that start a new version of their key."""
     keys = list(keys)
-    vals = F.struct(*[F.col(c) for c in columns])
-    src = source.select(*columns, seq_col).withColumn("_v", vals).withColumn(
-        "_file", F.shiftright(F.col(seq_col), FILE_SHIFT)
-    )
-    in_file = Window.partitionBy(*keys, "_file").orderBy(seq_col)
-    src = src.withColumn("_prev", F.lag("_v").over(in_file))
-
-    # one row per (key, file): the last version the file leaves behind
-    per_file = src.groupBy(*keys, "_file").agg(F.max_by("_v", F.col(seq_col)).alias("_last"))
+    values = F.struct(*[F.col(c) for c in columns]).alias("_v")
+    src = source.select(*[F.col(k) for k in keys], F.col(seq_col).alias("_seq"), values)
+    both = src.withColumn("_new", F.lit(True))
     if stored is not None:
-        st = stored.select(*keys, F.struct(*[F.col(c) for c in columns]).alias("_stored"))
-        cond = _null_safe_on(per_file, st, keys)
-        per_file = per_file.join(st, cond, "left").select(per_file["*"], st["_stored"])
-    else:
-        per_file = per_file.withColumn("_stored", F.lit(None).cast(src.schema["_v"].dataType))
-    across = Window.partitionBy(*keys).orderBy("_file")
-    handover = per_file.select(
-        *keys, "_file", F.coalesce(F.lag("_last").over(across), F.col("_stored")).alias("_before")
-    )
-
-    firsts = src.filter(F.col("_prev").isNull()).drop("_prev")
-    cond = _null_safe_on(firsts, handover, keys) & (firsts["_file"] == handover["_file"])
-    firsts = firsts.join(handover, cond, "left").select(firsts["*"], handover["_before"].alias("_prev"))
-    rest = src.filter(F.col("_prev").isNotNull())
-    both = rest.unionByName(firsts)
-    return both.filter(~_same("_v", "_prev", columns)).select(*columns, seq_col)
+        old = stored.select(*[F.col(k) for k in keys], F.lit(-1).cast("long").alias("_seq"), values, F.lit(False).alias("_new"))
+        both = both.unionByName(old)
+    heavy = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HEAVY_ROWS).select(*keys)
+    heavy = [r.asDict() for r in heavy.collect()]  # fewer than one in HEAVY_ROWS rows
+    run = F.lit(0).cast("long")
+    if heavy:
+        is_heavy = reduce(lambda a, b: a | b, [reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.lit(h[k])) for k in keys]) for h in heavy])
+        run = F.when(is_heavy, F.floor(F.col("_seq") / RUN_ROWS)).otherwise(run).cast("long")
+    both = both.withColumn("_run", run)
+    in_run = Window.partitionBy(*keys, "_run").orderBy("_seq")
+    rows = both.withColumn("_prev", F.lag("_v").over(in_run))
+    if heavy:
+        # one row a run of a heavy key: the last version it leaves behind goes to the run after it
+        last = both.filter(is_heavy).groupBy(*keys, "_run").agg(F.max_by("_v", "_seq").alias("_last"))
+        across = Window.partitionBy(*keys).orderBy("_run")
+        handed = last.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_run").alias("_k_run"), F.lag("_last").over(across).alias("_before"))
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]) & (F.col("_run") == F.col("_k_run"))
+        rows = rows.join(bounded_broadcast(handed), on, "left")
+        rows = rows.withColumn("_prev", F.coalesce("_prev", "_before"))
+    return rows.filter(F.col("_new") & ~_same("_v", "_prev", columns)).select("_v.*", F.col("_seq").alias(seq_col))
 
 
 def changes_for_load(

@@ -52,11 +52,24 @@ def delete_insert(
     return kept.unionByName(batch)
 
 
+def rows_with_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str], batch_rows: int | None = None) -> DataFrame:
+    """The target rows that ``delete_insert`` would drop."""
+    keys = list(keys)
+    batch_keys = bounded_broadcast(batch.select(*keys).distinct(), BATCH_KEYS_BROADCAST_ROWS, batch_rows)
+    return target.join(batch_keys, on=keys, how="left_semi").select(*target.columns)
+
+
 def replace_days(target: DataFrame, fresh: DataFrame, date_col: str, fresh_rows: int | None = None) -> DataFrame:
     """Key not unique: every target row of a date present in ``fresh`` is replaced."""
     return delete_insert(target, fresh, [date_col], fresh_rows)
 
 
+def without_days(target: DataFrame, days: DataFrame, date_col: str) -> DataFrame:
+    """The target rows of other dates than ``days``."""
+    gone = bounded_broadcast(days.select(date_col).distinct(), BATCH_KEYS_BROADCAST_ROWS)
+    return target.join(gone, on=date_col, how="left_anti").select(*target.columns)
+
+
 def dates_touched(sources: Mapping[str, DataFrame], watermark: dt.datetime | None, out: str) -> DataFrame:
     """Distinct dates of rows newer than the watermark, over several inputs (UNION).
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions import as_amount, as_bigint, as_date, code, reportable
-from ledgerline.operators import changes, incremental, quality
+from ledgerline.functions import as_amount, as_bigint, as_date, clean_text, code, reportable
+from ledgerline.operators import changes, incremental, key_filter, quality
 from ledgerline.operators.versions import latest_version
-from ledgerline.plans import build, checks, mart, reports
+from ledgerline.plans import build, checks, ledger, mart, reports
 from ledgerline.plans.report import restated_dates
 from ledgerline.schemas import INGEST_SEQ, LOADED_AT, MODELS
 from ledgerline.session import ensure_session
@@ -204,6 +204,17 @@ def q_normalize_codes(spark, sf_dir):
     return ops.select(as_bigint("id").alias("op_id"), F.col("currency").alias("raw_currency"), code("currency").alias("currency"))
 
 
+@query("trim_names")
+def q_trim_names(spark, sf_dir):
+    """Provider and game names with blanks around some of them, next to the names as staged: trimmed, their case kept."""
+    r = raw(spark, sf_dir)
+    parts = [r["providers_map"].select(F.lit("provider").alias("kind"), "id", F.col("provider_name").alias("name"))]
+    parts.append(r["games_map"].select(F.lit("game").alias("kind"), "id", F.col("game_name").alias("name")))
+    padded = F.when(F.col("id").cast("long") % 3 == 0, F.concat(F.lit("  "), "name", F.lit(" "))).otherwise(F.col("name"))
+    names = _union(parts).withColumn("raw_name", padded)
+    return names.select("kind", as_bigint("id").alias("id"), "raw_name", clean_text("raw_name").alias("name"))
+
+
 @query("convert_to_usd")
 def q_convert_to_usd(spark, sf_dir):
     """All three operation types converted with the rate of their day (one broadcast rate table)."""
@@ -348,6 +359,16 @@ def q_collapse_repeated_versions(spark, sf_dir):
     return changes.new_or_changed(feed, None, fixtures.EVENT_KEYS, fixtures.FEED_COLUMNS)
 
 
+@query("collapse_across_files")
+def q_collapse_across_files(spark, sf_dir):
+    """All events as three files, each in event order: the first row of a key in a file is compared with the last one of
+    the file before."""
+    feed = fixtures.event_feed(spark, sf_dir)
+    rank = F.pmod(INGEST_SEQ, F.lit(3))
+    seq = F.shiftleft(rank, changes.FILE_SHIFT).bitwiseOR(F.col(INGEST_SEQ))
+    return changes.new_or_changed(feed.withColumn(INGEST_SEQ, seq), None, fixtures.EVENT_KEYS, fixtures.FEED_COLUMNS)
+
+
 @query("snapshot_diff_players")
 def q_snapshot_diff_players(spark, sf_dir):
     """Undated table: the whole players snapshot compared with the stored versions."""
@@ -375,9 +396,10 @@ def q_affected_dates_union(spark, sf_dir):
 def q_affected_dates_semi(spark, sf_dir):
     """Every operation on a touched date (semi join), the input of the day replacement."""
     w2 = two_batches(spark, sf_dir)
-    dates = mart.affected_dates(w2.facts, _pm_watermark(spark, sf_dir))
+    # written once: the three semi joins read it, with its count known
+    dates = build.checkpointed("affected_dates", mart.affected_dates(w2.facts, _pm_watermark(spark, sf_dir)))
     touched = {
-        n: incremental.restrict_to(df, mart.FACTS[n].fact_date, dates, "activity_date") for n, df in w2.facts.items()
+        n: incremental.restrict_to(df, mart.FACTS[n].fact_date, dates.df, "activity_date", dates.rows) for n, df in w2.facts.items()
     }
     return mart.player_operations(touched)
 
@@ -505,6 +527,54 @@ def q_dq_unique_all_keys(spark, sf_dir):
     return _union(parts)
 
 
+@query("ledger_totals")
+def q_ledger_totals(spark, sf_dir):
+    """The ledgers a commit keeps: rows and exact sums per day (and currency) of every model that has one."""
+    w = full(spark, sf_dir)
+    parts = []
+    for name, x in ledger.LEDGERS.items():
+        rows = ledger.totals(w.table(name), name)
+        keys = [F.col(x.day).alias("activity_date"), (F.col("currency") if x.by else F.lit(None).cast("string")).alias("currency")]
+        zero = F.lit(None).cast("double")
+        sums = [(F.col(c).cast("double") if c in x.sums else zero).alias(c) for c in ("amount", "amount_usd", *mart.METRICS)]
+        parts.append(rows.select(F.lit(name).alias("table_name"), *keys, "row_count", *sums))
+    return _union(parts)
+
+
+@query("ledger_changed_days")
+def q_ledger_changed_days(spark, sf_dir):
+    """Days of each fact whose ledger after batch 2 differs from the one after batch 1: what a gate reads again."""
+    w1, w2 = first_batch(spark, sf_dir), two_batches(spark, sf_dir)
+    parts = []
+    for name in mart.FACTS:
+        days = ledger.changed_days(ledger.totals(w1.table(name), name), ledger.totals(w2.table(name), name), name)
+        parts.append(days.select(F.lit(name).alias("table_name"), "activity_date"))
+    return _union(parts)
+
+
+@query("signed_changes")
+def q_signed_changes(spark, sf_dir):
+    """What batch 2 adds to and takes from each (player, day): net sums and rows by the facts' change feeds."""
+    w1, w2 = first_batch(spark, sf_dir), two_batches(spark, sf_dir)
+    feeds = []
+    for name in mart.FACTS:
+        table = w2.tables[name]
+        feeds += table.changes[len(table.changes) - (table.version - w1.tables[name].version) :] if table.version > w1.tables[name].version else []
+    net = mart.aggregate_changes(_union(feeds))
+    return net.select("player_id", "activity_date", *mart.METRICS, *[F.col(c).alias(c.strip("_")) for c in mart.COUNTERS])
+
+
+@query("dq_key_in_two_months")
+def q_dq_key_in_two_months(spark, sf_dir):
+    """Bets of a batch whose id is stored in another month: found by the months' key filters, then looked up there."""
+    month = F.date_format("bet_date", "yyyyMM").cast("int").alias("month")
+    stored = full(spark, sf_dir).facts["fact_bet"].select("bet_id", "bet_date").select("bet_id", month)
+    moved = full(spark, sf_dir).facts["fact_bet"].filter(F.col("bet_id") % 5000 == 1).select("bet_id", F.add_months("bet_date", 1).alias("bet_date"))
+    new_ids = moved.select((F.col("bet_id") + 1_000_000_000).alias("key")).unionByName(moved.select(F.col("bet_id").alias("key")))
+    hits = key_filter.probe(new_ids, key_filter.build(stored, "month", "bet_id"), "month")
+    return stored.join(hits.select(F.col("key").alias("bet_id"), "month"), ["bet_id", "month"], "left_semi")
+
+
 @query("lossy_casts")
 def q_lossy_casts(spark, sf_dir):
     """Raw rows whose number doesn't fit its type without rounding, where some amounts have too many decimals."""
@@ -549,6 +619,12 @@ def q_report_filtered(spark, sf_dir):
     return reports.by_dimension(df, "country")
 
 
+@query("report_last_period")
+def q_report_last_period(spark, sf_dir):
+    """The last day, week, month, quarter and year of the selection, with the change since the period before."""
+    return reports.last_period(reports.filtered(full(spark, sf_dir).metrics_overview, **REPORT_FILTER))
+
+
 @query("period_over_period")
 def q_period_over_period(spark, sf_dir):
     """Monthly totals with the previous month's and the change."""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import freshest, to_usd, zero_usd
 from ledgerline.operators.incremental import (
@@ -20,7 +22,7 @@ from ledgerline.operators.incremental import (
     restrict_to,
 )
 from ledgerline.operators.joins import bounded_broadcast, fits
-from ledgerline.schemas import LOADED_AT, MODELS
+from ledgerline.schemas import LOADED_AT, MODELS, STATE, USD
 
 # Rates are days x currencies; broadcast only while the count is under this bound.
 RATES_BROADCAST_ROWS = 5_000_000
@@ -194,6 +196,109 @@ def aggregate_player_day(ops: DataFrame) -> DataFrame:
     )
 
 
+# --- player_metrics by signed changes ----------------------------------------
+
+# Besides its three sums a stored (player, day) keeps, for each fact, how many rows it has and how many of them have an
+# amount: by these a sum knows when it is NULL (no row has an amount, as SUM over the union of the facts gives it) and a
+# (player, day) knows when its last row has gone. Sums and counts can be taken back, so a batch needs no other rows.
+
+
+def _rows(name: str) -> str:
+    return f"{STATE}{name}_rows"
+
+
+def _valued(name: str) -> str:
+    return f"{STATE}{name}_valued"
+
+
+def counted(name: str) -> tuple[str, str]:
+    return _rows(name), _valued(name)
+
+
+COUNTERS = tuple(c for name in FACTS for c in counted(name))
+
+
+def signed(name: str, rows: DataFrame, sign: int) -> DataFrame:
+    """Rows of a fact as changes: +1 for those that came, -1 for those that went."""
+    return rows.select(
+        F.lit(name).alias("fact"), "player_id", F.col(FACTS[name].fact_date).alias("activity_date"),
+        F.col("amount_usd").cast(USD).alias("amount_usd"), F.col(LOADED_AT), F.lit(sign).alias("sign"),
+    )
+
+
+def feed_of(name: str):
+    """What a merge of a fact writes into its change feed: replaced rows taken back, batch rows added."""
+    return lambda replaced, batch: signed(name, replaced, -1).unionByName(signed(name, batch, 1))
+
+
+def _shown(sums: dict[str, Column]) -> list[Column]:
+    """The three measures: a sum is NULL when neither an amount of its own fact nor a row of another fact is there."""
+    out = []
+    for name, measure in FACT_MEASURE.items():
+        present = reduce(lambda a, b: a + b, [F.col(_valued(n) if n == name else _rows(n)) for n in FACTS])
+        out.append(F.when(present > 0, sums[measure]).cast(T.DecimalType(38, 6)).alias(measure))
+    return out
+
+
+def aggregate_changes(changes: DataFrame) -> DataFrame:
+    """Net sums and counts per (player, day); ``came`` is the newest load time of an added row, and ``recheck`` tells
+    that rows of a fact went and none newer than these came, so the newest load time left is unknown."""
+    aggregates, gone = [], F.lit(False)
+    for name, measure in FACT_MEASURE.items():
+        own = F.col("fact") == name
+        one = F.when(own, F.col("sign")).otherwise(0)
+        value = F.when(own, F.when(F.col("sign") > 0, F.col("amount_usd")).otherwise(-F.col("amount_usd")))
+        aggregates += [
+            F.coalesce(F.sum(value), F.lit(0)).cast(T.DecimalType(38, 6)).alias(measure), F.sum(one).alias(_rows(name)),
+            F.sum(F.when(F.col("amount_usd").isNotNull(), one).otherwise(0)).alias(_valued(name)),
+        ]
+        went, new = (F.max(F.when(own & (F.col("sign") == s), F.col(LOADED_AT))) for s in (-1, 1))
+        gone = gone | (went.isNotNull() & F.coalesce(went >= new, F.lit(True)))
+    came = F.max(F.when(F.col("sign") > 0, F.col(LOADED_AT))).alias("came")
+    dated = changes.filter(F.col("activity_date").isNotNull())
+    return dated.groupBy("player_id", "activity_date").agg(*aggregates, came, gone.alias("recheck"))
+
+
+def player_metrics_state(facts: dict[str, DataFrame]) -> DataFrame:
+    """Full build with counters; its visible columns are those of ``player_metrics``."""
+    parts = [signed(name, df, 1) for name, df in facts.items()]
+    net = aggregate_changes(reduce(DataFrame.unionByName, parts))
+    shown = _shown({m: F.col(m) for m in METRICS})
+    return net.select("player_id", "activity_date", *shown, F.col("came").alias(LOADED_AT), *COUNTERS)
+
+
+def apply_changes(stored: DataFrame, net: DataFrame) -> DataFrame:
+    """``stored`` (player, day) rows with ``net`` changes added: state columns and ``recheck``. Rows whose last operation
+    has gone are left out."""
+    s = stored.select(*[F.col(c).alias(f"_s_{c}") for c in ("player_id", "activity_date", *METRICS, LOADED_AT, *COUNTERS)])
+    on = F.col("player_id").eqNullSafe(F.col("_s_player_id")) & (F.col("activity_date") == F.col("_s_activity_date"))
+    j = s.join(net, on, "full_outer")
+    zero = F.lit(0).cast(T.DecimalType(38, 6))
+    sums = {m: F.coalesce(f"_s_{m}", zero) + F.coalesce(m, zero) for m in METRICS}
+    key = F.col("_s_activity_date").isNotNull()
+    j = j.select(
+        F.when(key, F.col("_s_player_id")).otherwise(F.col("player_id")).alias("player_id"),
+        F.coalesce("_s_activity_date", "activity_date").alias("activity_date"),
+        *[x.alias(f"_sum_{m}") for m, x in sums.items()],
+        F.greatest(f"_s_{LOADED_AT}", "came").alias(LOADED_AT),
+        *[(F.coalesce(f"_s_{c}", F.lit(0)) + F.coalesce(c, F.lit(0))).cast("long").alias(c) for c in COUNTERS],
+        F.coalesce("recheck", F.lit(False)).alias("recheck"),
+    )
+    left = reduce(lambda a, b: a + b, [F.col(_rows(n)) for n in FACTS])
+    shown = _shown({m: F.col(f"_sum_{m}") for m in METRICS})
+    return j.filter(left > 0).select("player_id", "activity_date", *shown, LOADED_AT, *COUNTERS, "recheck")
+
+
+def reloaded_at(state: DataFrame, facts: dict[str, DataFrame]) -> DataFrame:
+    """``state`` with the load time of its ``recheck`` rows taken from the facts (restricted by the caller to their days)."""
+    doubtful = state.filter("recheck").select(F.col("player_id").alias("_p"), F.col("activity_date").alias("_d"))
+    on = F.col("player_id").eqNullSafe(F.col("_p")) & (F.col("activity_date") == F.col("_d"))
+    found = player_operations(facts).join(doubtful, on, "left_semi")
+    newest = found.groupBy(F.col("player_id").alias("_p"), F.col("activity_date").alias("_d")).agg(F.max(LOADED_AT).alias("_newest"))
+    fixed = F.when(F.col("recheck"), F.col("_newest")).otherwise(F.col(LOADED_AT))
+    return state.join(newest, on, "left").withColumn(LOADED_AT, fixed).select(*state.columns)
+
+
 def player_metrics(facts: dict[str, DataFrame]) -> DataFrame:
     """Full build. Facts without a date never join an affected date, so they are left out."""
     ops = player_operations(facts).filter(F.col("activity_date").isNotNull())

@@ -44,12 +44,38 @@ def filtered(
 
 
 def by_period(overview: DataFrame, units: Sequence[str] = PERIOD_UNITS) -> DataFrame:
-    """Totals for each period granularity, tagged with ``period_type``."""
-    parts = [_totals(overview, u).select(F.lit(u).alias("period_type"), "*") for u in units]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Totals for each period granularity, tagged with ``period_type``. The report is read once: its days are added up
+    first, then each day's few sums go to the periods it lies in."""
+    days = overview.groupBy("activity_date").agg(*[F.sum(m).alias(m) for m in METRICS])
+    periods = F.array(*[F.struct(F.lit(u).alias("period_type"), period_start("activity_date", u).alias("period_start")) for u in units])
+    spread = days.select(F.inline(periods), *METRICS)
+    return spread.groupBy("period_type", "period_start").agg(*[F.sum(m).alias(m) for m in METRICS])
+
+
+def last_period(overview: DataFrame, units: Sequence[str] = PERIOD_UNITS) -> DataFrame:
+    """For each granularity the last period of the (filtered) report, with the change since the period before it. A period
+    before it without any row counts as absent: its columns are NULL."""
+    periods = by_period(overview, units)
+    last = periods.groupBy("period_type").agg(F.max_by(F.struct("period_start", *METRICS), "period_start").alias("last"))
+    shifted = F.lit(None).cast("date")
+    for u in units:
+        shifted = F.when(F.col("period_type") == u, _shift(F.col("last.period_start"), u, -1)).otherwise(shifted)
+    before = periods.select(
+        F.col("period_type").alias("_type"), F.col("period_start").alias("_start"), *[F.col(m).alias(f"_{m}") for m in METRICS]
+    )
+    joined = last.withColumn("_at", shifted).join(before, (F.col("period_type") == F.col("_type")) & (F.col("_at") == F.col("_start")), "left")
+    out = ["period_type", F.col("last.period_start").alias("period_start")]
+    for m in METRICS:
+        out += _change(m, F.col(f"last.{m}"), F.col(f"_{m}"))
+    return joined.select(*out)
+
+
+def _change(measure: str, current: Column, previous: Column) -> list[Column]:
+    c, p = current.cast("double"), previous.cast("double")
+    return [
+        c.alias(measure), p.alias(f"previous_{measure}"), (c - p).alias(f"change_{measure}"),
+        F.when(p != 0, (c - p) / p).alias(f"relative_change_{measure}"),
+    ]
 
 
 def by_dimension(overview: DataFrame, dimension: str, unit: str = "month") -> DataFrame:
@@ -75,11 +101,5 @@ def period_over_period(overview: DataFrame, unit: str = "month") -> DataFrame:
     j = cur.join(prev, "period_start", "left")
     out = [F.col("period_start")]
     for m in METRICS:
-        c, p = F.col(m).cast("double"), F.col(f"previous_{m}").cast("double")
-        out += [
-            c.alias(m),
-            p.alias(f"previous_{m}"),
-            (c - p).alias(f"change_{m}"),
-            F.when(p != 0, (c - p) / p).alias(f"relative_change_{m}"),
-        ]
+        out += _change(m, F.col(m), F.col(f"previous_{m}"))
     return j.select(*out)

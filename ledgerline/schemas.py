@@ -103,3 +103,6 @@ MODELS: dict[str, ModelLayout] = {
         ModelLayout("data_mart_report", "metrics_overview", None, "activity_date", "activity_date"),
     )
 }
+
+# Columns of a stored model that only its own maintenance uses; readers never see them.
+STATE = "_state_"
