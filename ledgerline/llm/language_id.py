@@ -249,9 +249,12 @@ def fit(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE) ->
     rows = docs.filter(learnable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sample = save(draw(rows.select("doc_id", "lang", "text"), "lang", per_language), "language-sample")
     kept_back = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION_SHARE)) == 0
+    # a language whose texts all fall into the calibration slice is learned from them, and not calibrated
+    several = sample.filter(~kept_back & F.col("text").rlike(r"\p{L}")).select("lang").distinct().collect()
+    calibrated = kept_back & F.col("lang").isin([r["lang"] for r in several])
     schema = "lang string, " + ", ".join(f"{c} long" for c in GRAM_COLUMNS) + ", n long"
     counted = (
-        sample.filter(~kept_back)
+        sample.filter(~calibrated)
         .select("lang", "text")
         .mapInArrow(_count_grams, schema)
         .groupBy("lang", *GRAM_COLUMNS)
@@ -265,7 +268,7 @@ def fit(docs: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE) ->
         models.append(kneser_ney(own[[*GRAM_COLUMNS, "n"]].to_numpy()))
     found = Identifier(list(names), models)
     if names:
-        _calibrate(found, sample.filter(kept_back).select("lang", "text"))
+        _calibrate(found, sample.filter(calibrated).select("lang", "text"))
     return found
 
 
