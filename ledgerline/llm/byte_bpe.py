@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import Memo, list_array, pieces, slices
 
 KEYS_PER_BUCKET = 4
+MEMO = 150_000  # pre-tokens a task remembers
 LONGEST_MEMO = 64  # characters; longer pre-tokens are encoded anew each time, so that the memo's bytes are bounded too
 ENCODED = "doc_id long, ids array<int>"
 DECODED = ENCODED + ", decoded binary"
@@ -154,7 +155,7 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.stop = np.cumsum([len(t) for t in tokens], dtype=np.int64)
         self.size = np.diff(self.stop, prepend=0)
-        self.memo = Memo(self.ids_of)
+        self.forget()
 
     def ids_of(self, piece: str) -> bytes:
         """The ids of one pre-token as packed 32-bit integers."""
@@ -162,6 +163,10 @@ class Codec:
         whole = self.table.get(token)
         return array("i", (whole,) if whole is not None else merge(token, self.ranks)).tobytes()
 
+    def forget(self) -> None:
+        """Drop what was encoded so far, at a task's end: workers outlive their tasks."""
+        self.memo = Memo(self.ids_of, MEMO)
+
     def ids_of_long(self, piece: str) -> bytes:
         return self.ids_of(piece) if len(piece) > LONGEST_MEMO else self.memo[piece]
 
@@ -207,6 +212,7 @@ def encode(docs: DataFrame, vocabulary, pattern: str) -> DataFrame:
         for batch in pieces(batches, 1):
             ids = [codec.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), list_array(ids, pa.int32())], names=["doc_id", "ids"])
+        codec.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ENCODED)
 
@@ -236,6 +242,7 @@ def round_trip(docs: DataFrame, vocabulary, pattern: str) -> DataFrame:
         for batch in pieces(batches, 1):
             ids = [codec.encode(t) for t in batch.column(1).to_pylist()]
             yield _decoded(codec, batch.column(0), list_array(ids, pa.int32()))
+        codec.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, DECODED)
 

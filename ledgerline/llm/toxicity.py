@@ -36,6 +36,7 @@ SIGNIFICANT = (3.0, 2.0, 4.0)  # standard errors; of these settings the one that
 REGULARISATION = (1e-4, 1e-3)
 CHECKED = 5  # one in so many learnable rows is kept back to choose the setting
 ITERATIONS = 30
+MEMO = 150_000  # words a task remembers
 
 
 def word_features(word: str) -> np.ndarray:
@@ -71,7 +72,7 @@ class Classifier:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if not hasattr(self, "words"):
-            self.words = Memo(self._weighty, 300_000)
+            self.words = Memo(self._weighty, MEMO)
         margin = np.full(len(texts), self.intercept)
         for i, text in enumerate(texts):
             words = set(text.lower().split()) if text else ()
@@ -79,6 +80,10 @@ class Classifier:
             margin[i] += self.weights[list(found)].sum() if found else 0.0
         return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
 
+    def forget(self) -> None:
+        """Drop the memo at a task's end: workers outlive their tasks, and the next stage needs the memory."""
+        self.__dict__.pop("words", None)
+
 
 def log_count_ratios(rows: DataFrame, significant: float) -> tuple[np.ndarray, np.ndarray]:
     """Features and their smoothed log ratio of shares among toxic and among other documents, from rows of ``label`` and
@@ -210,6 +215,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
         for batch in pieces(batches, 1):
             scores = shared.value.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+        shared.value.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
 
@@ -224,5 +230,6 @@ def keep_clean(docs: DataFrame, model: Classifier, threshold: float = 0.5) -> Da
         for batch in pieces(batches, text_at):
             scores = shared.value.scores(batch.column(text_at).to_pylist())
             yield batch.filter(pa.array(scores < threshold))
+        shared.value.forget()
 
     return docs.mapInArrow(run, schema)
