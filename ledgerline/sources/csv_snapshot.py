@@ -13,8 +13,8 @@ and not made a literal.
 Scale: shuffled are the lines of multi-line records and, for each range (``spark.sql.files.maxPartitionBytes``), one row.
 A file that is compressed whole can't be split and is one range.
 
-Quotes inside quoted texts are doubled, as the source writes them. An empty field reads as NULL, a quoted empty text as an
-empty text; lines of blanks only are skipped. A file whose quotes don't close is an error.
+Quotes inside quoted texts are doubled, as the source writes them. An empty field reads as NULL, quoted or
+not; lines of blanks only are skipped. A file whose quotes don't close is an error.
 """
 
 from __future__ import annotations
@@ -98,17 +98,19 @@ def _spans(found: DataFrame) -> DataFrame:
     return spans.select(F.col("rank").alias("_rank"), "begin", F.explode(F.sequence("begin", end)).alias("_number"))
 
 
-def records(lines: DataFrame, found: DataFrame) -> DataFrame:
+def records(lines: DataFrame, found: DataFrame, n_ranges: int) -> DataFrame:
     """``record, rank, number``: the text of every record and the number of its first line."""
-    side = bounded_broadcast(found.select(F.col("file").alias("_file"), F.col("range").alias("_range"), "rank", "first", "first_at"))
+    side = found.select(F.col("file").alias("_file"), F.col("range").alias("_range"), "rank", "first", "first_at")
+    side = bounded_broadcast(side, known_rows=n_ranges)
     on = (F.col("file") == F.col("_file")) & (F.col("range") == F.col("_range"))
     lost = F.raise_error(F.concat(F.lit("the input was cut otherwise when read again: "), "file")).cast("long")
     number = F.coalesce(F.col("first") + F.col("at") - F.col("first_at"), lost)
     placed = lines.join(side, on, "left").select("line", "rank", number.alias("number"))
     spans = _spans(found)
-    if spans.isEmpty():
+    n_lines = spans.count()
+    if not n_lines:
         return placed.select(F.col("line").alias("record"), "rank", "number")
-    inside = bounded_broadcast(spans, LINES_BROADCAST)
+    inside = bounded_broadcast(spans, LINES_BROADCAST, n_lines)
     on = (F.col("rank") == F.col("_rank")) & (F.col("number") == F.col("_number"))
     single = placed.join(inside, on, "left_anti").select(F.col("line").alias("record"), "rank", "number")
     several = placed.join(inside, on).groupBy("rank", "begin").agg(
@@ -141,8 +143,9 @@ def read_source(spark: SparkSession, path: str | list[str], columns: Sequence[st
     found = ranges(lines)
     heads = headers(found)
     wanted = _checked_names(heads, path, columns)
-    heads = bounded_broadcast(heads.select(F.col("rank").alias("_rank"), "names", "header"))
-    rows = records(lines, found).join(heads, F.col("rank") == F.col("_rank"))
+    n_ranges = found.count()  # as many as files, or more
+    heads = bounded_broadcast(heads.select(F.col("rank").alias("_rank"), "names", "header"), known_rows=n_ranges)
+    rows = records(lines, found, n_ranges).join(heads, F.col("rank") == F.col("_rank"))
     # a line's end may be "\r\n"; lines of blanks only are no records
     text = F.when(F.endswith("record", F.lit("\r")), F.substring("record", F.lit(1), F.length("record") - 1)).otherwise(F.col("record"))
     rows = rows.select("names", "rank", "number", "header", text.alias("record"))

@@ -30,17 +30,6 @@ def write_snapshots(spark, folder, as_of):
         )
 
 
-@pytest.fixture(scope="module")
-def two_runs(spark, tmp_path_factory):
-    base = tmp_path_factory.mktemp("job")
-    root = str(base / "warehouse")
-    write_snapshots(spark, str(base / "src1"), RUN1)
-    write_snapshots(spark, str(base / "src2"), RUN2)
-    first, loads1 = job.run_pipeline(spark, root, str(base / "src1"), RUN1)
-    second, loads2 = job.run_pipeline(spark, root, str(base / "src2"), RUN2)
-    return root, base, loads1, loads2
-
-
 def _same(a, b):
     cols = sorted(b.columns)  # the stored side also carries its partition column
     a, b = a.select(*cols), b.select(*cols)

@@ -4,6 +4,7 @@ import contextlib
 import datetime as dt
 import io
 import random
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -223,17 +224,10 @@ def test_increment_reads_only_stored_days_and_feeds(spark, tmp_path):
 # --- gates ----------------------------------------------------------------------------
 
 
-@pytest.fixture(scope="module")
-def warehouse(spark, tmp_path_factory):
-    from test_job import RUN1, RUN2, write_snapshots
-
-    base = tmp_path_factory.mktemp("gates")
-    root = str(base / "warehouse")
-    write_snapshots(spark, str(base / "src1"), RUN1)
-    write_snapshots(spark, str(base / "src2"), RUN2)
-    job.run_pipeline(spark, root, str(base / "src1"), RUN1)
-    job.run_pipeline(spark, root, str(base / "src2"), RUN2)
-    return root
+@pytest.fixture
+def warehouse(two_runs, tmp_path):
+    shutil.copytree(two_runs[0], tmp_path / "copy")
+    return str(tmp_path / "copy")
 
 
 def _gates(spark, root, whole=False):
