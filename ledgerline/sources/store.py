@@ -4,8 +4,8 @@ Layout under ``root`` (any file system Spark can write, e.g. a shared bucket):
 
     raw/<table>/_batch=<load time>-<run>/_month=<business month>/       append-only version log
     <layer>/<model>/_commit=<version>-<run>/<partition>=<value>/        models
-    _ledger/<layer>.<model>/_commit=<version>-<run>/<partition>=<value>/  totals of each commit's partitions (``plans.ledger``)
-    _keys/<layer>.<model>/_commit=<version>-<run>/<partition>=<value>/    Bloom filters of keys (``operators.key_filter``)
+    _ledger/<layer>.<model>/_commit=<version>-<run>/                    totals of each commit's partitions (``plans.ledger``)
+    _keys/<layer>.<model>/_commit=<version>-<run>/                      Bloom filters of keys (``operators.key_filter``)
     _changes/<layer>.<model>/_commit=<version>-<run>/                   signed changes of each commit (facts)
     _commits/<table>/<version>.json, _runs/<token>.json                 manifests (``sources.manifest``)
     _work/<run>/<name>/                                                 batches of one run
@@ -280,9 +280,8 @@ class TableStore:
             sides.append((ledger.totals(stored, name, [part]), self.ledger_path(name)))
         if written and name in SPREAD_KEYS:
             sides.append((key_filter.build(stored, part, SPREAD_KEYS[name]), self.keys_path(name)))
-        for side, path in sides:
-            side = side.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "static")
-            side.partitionBy(part).parquet(f"{path}/{folder}")
+        for side, path in sides:  # a few rows a partition: no directories of their own
+            side.write.mode("overwrite").parquet(f"{path}/{folder}")
         return written
 
     def doubled_keys(self, name: str, parts: Sequence[str]) -> DataFrame:
