@@ -73,12 +73,12 @@ def numbered(rows: DataFrame, group: Column, order: Sequence[Column]) -> DataFra
     own = Window.partitionBy("_group")  # one row a range of the group
     before = F.coalesce(F.sum("n").over(own.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     found = found.select(
-        F.col("_group").alias("g"), F.col("_range").alias("r"), (before - F.col("first")).alias("shift"), F.sum("n").over(own).alias("group_rows")
+        F.col("_group").alias("_g"), F.col("_range").alias("_r"), (before - F.col("first")).alias("_shift"), F.sum("n").over(own).alias("_rows")
     )
     found = _side(save(found, "ranges"))
-    on = F.col("_group").eqNullSafe(F.col("g")) & (F.shiftright("_at", 33) == F.col("r"))
-    position = (F.col("_at").bitwiseAND(F.lit(ROW_BITS)) + F.col("shift")).alias("position")
-    return ranged.join(found, on).select(*[c for c in ranged.columns if c not in ("_group", "_at")], position, "group_rows")
+    on = F.col("_group").eqNullSafe(F.col("_g")) & (F.shiftright("_at", 33) == F.col("_r"))
+    position = (F.col("_at").bitwiseAND(F.lit(ROW_BITS)) + F.col("_shift")).alias("position")
+    return ranged.join(found, on).select(*[c for c in ranged.columns if c not in ("_group", "_at")], position, F.col("_rows").alias("group_rows"))
 
 
 def _level_above(children: DataFrame, carried: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
