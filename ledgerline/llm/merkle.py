@@ -32,6 +32,7 @@ from ledgerline.llm.common import save
 
 FANOUT = 3
 BROADCAST_NODES = 1 << 12  # nodes of the upper climb
+ROWS_A_TASK = 20_000
 BROADCAST_ROWS = 1 << 16  # rows of another side whose count is checked
 DOUBLINGS = 3  # a step of the recursion climbs 2 ** DOUBLINGS levels: its rows are dealt out anew, with their proofs so far
 LEVEL_BITS = 48
@@ -81,15 +82,22 @@ def numbered(rows: DataFrame, group: Column, order: Sequence[Column]) -> DataFra
     return ranged.join(found, on).select(*[c for c in ranged.columns if c not in ("_group", "_at")], position, F.col("_rows").alias("group_rows"))
 
 
-def _level_above(children: DataFrame, carried: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """One level's nodes (of trees with more than one at that level) as linked node rows, and the level above them."""
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of about ``rows`` rows in no more tasks than they need: upper levels are small, and there are many."""
+    return df.coalesce(rows // ROWS_A_TASK + 1)
+
+
+def _level_above(children: DataFrame, rows: int, carried: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """One level's nodes (of trees with more than one at that level; ``rows`` in all) as linked node rows, and the level
+    above them."""
     runs = children.groupBy("tree", "n", F.floor((F.col("node") % LEVEL) / FANOUT).cast("long").alias("run")).agg(
         F.array_sort(F.collect_list(F.struct("node", "digest", *carried))).alias("own")  # at most FANOUT rows
     )
     digests = F.transform("own", lambda c: c["digest"])
     parent = F.shiftleft(F.shiftright(F.col("own")[0]["node"], LEVEL_BITS) + 1, LEVEL_BITS) + F.col("run")
     n = F.ceil(F.col("n") / FANOUT).cast("long").alias("n")
-    runs = save(runs.select("tree", n, parent.alias("parent"), "own", digest(_text(digests)).alias("up")), "merkle-runs")
+    runs = runs.select("tree", n, parent.alias("parent"), "own", digest(_text(digests)).alias("up"))
+    runs = save(_few(runs, rows), "merkle-runs")
     linked = runs.select("tree", "parent", digests.alias("all"), F.posexplode("own").alias("slot", "child")).select(
         "tree", "child.node", "child.digest", F.col("tree").alias("parent_tree"), "parent",
         F.unhex(_text(F.slice("all", F.lit(1), F.col("slot")))).alias("before"),
@@ -106,14 +114,14 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _levels(children: DataFrame, most: int, carried: Sequence[str] = ()) -> tuple[list[DataFrame], DataFrame]:
-    """The linked nodes of every level above and with ``children`` (at most ``most`` a tree), and the trees' roots."""
+def _levels(children: DataFrame, most: int, rows: int, carried: Sequence[str] = ()) -> tuple[list[DataFrame], DataFrame]:
+    """The linked nodes of every level above and with ``children`` (``rows``, at most ``most`` a tree), and the trees' roots."""
     levels, roots = [], [children.filter("n = 1").drop("n")]
     while most > 1:
-        linked, children = _level_above(children.filter("n > 1"), carried)
+        linked, children = _level_above(children.filter("n > 1"), rows, carried)
         levels.append(linked)
         roots.append(children.filter("n = 1").drop("n"))
-        most, carried = -(-most // FANOUT), ()
+        most, rows, carried = -(-most // FANOUT), -(-rows // FANOUT), ()
     return levels, _union(roots)
 
 
@@ -135,28 +143,29 @@ def build(rows: DataFrame, group: str, order: Sequence[Column], leaf: str, carri
     rows = numbered(rows, F.col(group), [*order, F.col(leaf)])
     groups = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     groups = save(numbered(groups, F.lit(0), [F.col(group).asc_nulls_first()]).withColumn("tree", F.col("position") + 1), "merkle-groups")
-    size = groups.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("most")).first()
+    size = groups.agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("most"), F.sum("n").alias("rows")).first()
     known = _side(groups.select(F.col(group).alias("_g"), "tree"))
     children = rows.join(known, F.col(group).eqNullSafe(F.col("_g"))).select(
         "tree", F.col("position").alias("node"), F.col(leaf).alias("digest"), F.col("group_rows").alias("n"), *carried
     )
-    lower, subroots = _levels(save(children, "merkle-leaves"), size["most"] or 0, carried)
-    subroots = save(subroots, "merkle-subroots")
+    lower, subroots = _levels(save(children, "merkle-leaves"), size["most"] or 0, size["rows"] or 0, carried)
+    subroots = save(_few(subroots, size["groups"]), "merkle-subroots")
     tops = subroots.select(
         F.lit(TOP).alias("tree"), (F.lit(TOP_LEVEL) * LEVEL + F.col("tree") - 1).alias("node"), "digest",
         F.lit(size["groups"]).cast("long").alias("n"),
     )
-    upper, root = _levels(tops, size["groups"])
+    upper, root = _levels(tops, size["groups"], size["groups"])
     # a group's root takes its parent and siblings from its place in the top tree
     up = ["parent_tree", "parent", "before", "after"]
     if upper:
         place = (F.col("node") - F.lit(TOP_LEVEL) * LEVEL + 1).alias("tree")
-        joints = subroots.join(_side(save(upper[0].select(place, *up), "merkle-places")), "tree")
+        joints = subroots.join(_side(save(_few(upper[0].select(place, *up), size["groups"]), "merkle-places")), "tree")
     else:
         joints = subroots.select("*", *[F.lit(None).cast(t).alias(c) for c, t in zip(up, ("long", "long", "binary", "binary"))])
-    joints = save(joints, "merkle-joints")
+    joints = save(_few(joints, size["groups"]), "merkle-joints")
     leaves = _union([joints.filter(F.col("node") < LEVEL), *lower[:1]])  # the root of a group of one row is its leaf
     nodes = _union([x.select("tree", "node", *up) for x in (joints.filter(F.col("node") >= LEVEL), *lower[1:], *upper[1:])])
+    leaves, nodes = _few(leaves, size["rows"] or 0), _few(nodes, size["rows"] or 0)
     return Manifest(save(leaves, "merkle-leaves-linked"), save(nodes, "merkle-nodes"), subroots, (root if upper else subroots).first())
 
 
@@ -167,12 +176,13 @@ def _strides(nodes: DataFrame) -> DataFrame:
         "tree", "node", F.col("parent_tree").alias("to_tree"), F.col("parent").alias("to_node"),
         F.array(F.struct("before", "after")).alias("path"),
     )
+    rows = nodes.count()
     for _ in range(DOUBLINGS):
         on = (F.col("a.to_tree") == F.col("b.tree")) & (F.col("a.to_node") == F.col("b.node"))
         path = F.when(F.col("b.node").isNull(), F.col("a.path")).otherwise(F.concat("a.path", "b.path"))
         ends = [F.coalesce(f"b.{c}", f"a.{c}").alias(c) for c in ("to_tree", "to_node")]
         out = out.alias("a").join(out.alias("b"), on, "left").select("a.tree", "a.node", *ends, path.alias("path"))
-        out = save(out, "merkle-strides")
+        out = save(_few(out, rows), "merkle-strides")
     return out
 
 
