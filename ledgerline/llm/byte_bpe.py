@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import Memo, list_array, pieces, slices
 
 KEYS_PER_BUCKET = 4
-MEMO = 150_000  # pre-tokens a task remembers
+MEMO = 300_000  # pre-tokens a task remembers
 LONGEST_MEMO = 64  # characters; longer pre-tokens are encoded anew each time, so that the memo's bytes are bounded too
 ENCODED = "doc_id long, ids array<int>"
 DECODED = ENCODED + ", decoded binary"
