@@ -177,7 +177,10 @@ class Codec:
         own = self.memo.__getitem__ if max(map(len, pieces), default=0) <= LONGEST_MEMO else self.ids_of_long
         return np.frombuffer(b"".join(map(own, pieces)), np.int32)
 
-    def decode(self, ids: np.ndarray, cuts: np.ndarray) -> pa.BinaryArray:
+    def decode(self, ids: list[int]) -> bytes:
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0].as_py()
+
+    def decode_all(self, ids: np.ndarray, cuts: np.ndarray) -> pa.BinaryArray:
         """The bytes of many id lists at once, laid end to end in ``ids`` and cut at ``cuts`` (one more than lists)."""
         size = self.size[ids]
         ends = np.concatenate([[0], np.cumsum(size)])
@@ -231,7 +234,7 @@ def decode(encoded: DataFrame, vocabulary, pattern: str) -> DataFrame:
 def _decoded(codec: Codec, doc_id: pa.Array, ids: pa.ListArray) -> pa.RecordBatch:
     offsets = ids.offsets.to_numpy().astype(np.int64)
     flat = ids.flatten().to_numpy(zero_copy_only=False)
-    return pa.RecordBatch.from_arrays([doc_id, ids, codec.decode(flat, offsets - offsets[0])], names=["doc_id", "ids", "decoded"])
+    return pa.RecordBatch.from_arrays([doc_id, ids, codec.decode_all(flat, offsets - offsets[0])], names=["doc_id", "ids", "decoded"])
 
 
 def round_trip(docs: DataFrame, vocabulary, pattern: str) -> DataFrame:
