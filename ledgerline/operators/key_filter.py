@@ -7,7 +7,7 @@ against all filters by a join on (number of blocks, block); only partitions that
 keys that hit.
 
 Scale: a filter takes ``BITS_A_KEY`` bits a key and is spread over rows of 4 KB, so that no task or join row grows with a
-partition. About one key in a hundred thousand hits a partition that doesn't hold it; such a hit costs a read, no error.
+partition. A build has a task for every ``TASK_KEYS`` keys, so that more keys need more tasks and no larger ones. About one key in a hundred thousand hits a partition that doesn't hold it; such a hit costs a read, no error.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 15  # bits, as many as one of Spark's bitmaps has
 BITS_A_KEY = 32
 PROBES = 6
+TASK_KEYS = 250_000  # keys of one task of a build: it sorts PROBES rows a key
 
 
 def _positions(key: str) -> Column:
@@ -31,14 +32,20 @@ def _block(key: str, blocks: Column) -> Column:
 
 
 def build(rows: DataFrame, part: str, key: str) -> DataFrame:
-    """``part, blocks, block, bits, lo, hi`` of every partition's keys (nulls are no keys)."""
+    """``part, blocks, block, bits, lo, hi`` of every partition's keys (nulls are no keys). Reads ``rows`` twice: now, to
+    count the keys, and for the filters."""
     keys = rows.select(part, F.col(key).cast("long").alias("key")).filter("key is not null")
     sizes = keys.groupBy(part).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    # one row a partition written by a commit: months or days, bounded by the calendar
+    counted = sizes.collect()
+    tasks = max(1, -(-sum(r["n"] for r in counted) // TASK_KEYS))
+    sizes = rows.sparkSession.createDataFrame(counted, sizes.schema)
     power = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") * BITS_A_KEY / BLOCK)))
     sizes = sizes.select(F.col(part).alias("_part"), F.pow(F.lit(2), power).cast("long").alias("blocks"), "lo", "hi")
-    # one row a partition written by a commit: months or days, bounded by the calendar
     sized = keys.join(F.broadcast(sizes), F.col(part).eqNullSafe(F.col("_part"))).drop("_part")
-    set_bits = sized.select(part, "blocks", "lo", "hi", _block("key", F.col("blocks")).alias("block"), F.explode(_positions("key")).alias("at"))
+    # whole blocks in one task, before a key becomes PROBES rows that are sorted there
+    dealt = sized.withColumn("block", _block("key", F.col("blocks"))).repartition(tasks, part, "block").distinct()
+    set_bits = dealt.select(part, "blocks", "lo", "hi", "block", F.explode(_positions("key")).alias("at"))
     return set_bits.groupBy(part, "blocks", "block", "lo", "hi").agg(F.call_function("bitmap_construct_agg", F.col("at")).alias("bits"))
 
 
