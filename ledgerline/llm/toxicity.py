@@ -6,7 +6,8 @@ ratio of its smoothed counts in toxic and other documents, and a logistic regres
 Scale: fitting uses at most about ``per_class`` labelled documents a class (drawn by hash from exact counts, and weighted
 back to the classes' true shares). Counts, ratios and the regression run in Spark; the driver gets the features with a
 ratio, numbered densely for the regression. Its two settings are chosen by a split of the learnable rows.
-Scoring is one pass without a shuffle over whole texts.
+Scoring is one pass without a shuffle over whole texts; the n-grams of many texts are hashed at once, whether their
+words are frequent or seen once.
 
 Defined results: null and empty texts have no feature and get the score of the intercept; null labels are not
 learned; a document labelled more than once counts as toxic if one label says so; with labels of one kind only, or
@@ -16,7 +17,6 @@ kept, not held out and not learned. Other columns are not read.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import Memo, list_array, pieces, save, slices
+from ledgerline.llm.common import pieces, save, slices
 
 BITS = 18
 LENGTHS = (3, 4, 5, 6)
@@ -36,24 +36,57 @@ SIGNIFICANT = (3.0, 2.0, 4.0)  # standard errors; of these settings the one that
 REGULARISATION = (1e-4, 1e-3)
 CHECKED = 5  # one in so many learnable rows is kept back to choose the setting
 ITERATIONS = 30
-MEMO = 150_000  # words a task remembers
-
-
-def word_features(word: str) -> np.ndarray:
-    """Hashed n-grams of one word between word marks."""
-    marked = f"\x02{word}\x03"
-    mask = (1 << BITS) - 1
-    found = {zlib.crc32(marked[i : i + n].encode()) & mask for n in LENGTHS for i in range(max(1, len(marked) - n + 1))}
-    return np.fromiter(found, np.int32, len(found))
-
-
-_WORDS = Memo(word_features, 100_000)  # one per worker process
-
-
-def features(text: str | None) -> np.ndarray:
-    """Sorted distinct features of a whole text."""
-    words = set(text.lower().split()) if text else ()
-    return np.unique(np.concatenate([_WORDS[w] for w in words])) if words else np.empty(0, np.int32)
+BLOCK = 1 << 17  # characters hashed at a time
+
+
+def _crc_table() -> np.ndarray:
+    """What ``zlib.crc32`` does with a byte."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC = _crc_table()
+_MASK = np.uint32((1 << BITS) - 1)
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+def features(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of texts and their distinct features, both ascending: the hashed n-grams of their words between word
+    marks; only features that ``wanted`` has as true, if given. A block of characters is hashed at a time, all n-grams
+    that start in it at once, a character longer in each step."""
+    marked = ["\x02" + "\x03 \x02".join(set(text.lower().split())) + "\x03 " if text else " " for text in texts]
+    data = np.frombuffer("".join([*marked, " " * LENGTHS[-1]]).encode(), np.uint8)
+    chars = np.flatnonzero((data & 0xC0) != 0x80)  # where they start
+    row = np.repeat(np.arange(len(texts)), [len(m) for m in marked])
+    blocks = []
+    for start in range(0, len(row), BLOCK):
+        n = min(BLOCK, len(row) - start)
+        at = chars[start : start + n + LENGTHS[-1]]
+        first = data[at]
+        follow = [np.flatnonzero(first >= lead) for lead in (0xC0, 0xE0, 0xF0)]  # characters of over 1, 2 and 3 bytes
+        spaces = np.append(np.flatnonzero(first == 0x20), len(at))
+        room = np.repeat(spaces, np.diff(spaces, prepend=-1))[:n] - np.arange(n)  # characters left of the word
+        keys, crc = [], np.full(n, 0xFFFFFFFF, np.uint32)
+        for length in range(1, LENGTHS[-1] + 1):
+            crc = _CRC[(crc ^ first[length - 1 : length - 1 + n]) & 0xFF] ^ (crc >> 8)
+            for i, longer in enumerate(follow):
+                if len(longer):
+                    own = longer[(longer >= length - 1) & (longer < length - 1 + n)]
+                    then = crc[own - length + 1]
+                    crc[own - length + 1] = _CRC[(then ^ data[at[own] + i + 1]) & 0xFF] ^ (then >> 8)
+            if length in LENGTHS:
+                feature = ~crc & _MASK
+                here = np.flatnonzero(room >= length if wanted is None else wanted[feature] & (room >= length))
+                keys.append((row[start + here] << BITS) | feature[here])
+        blocks.append(_distinct(np.concatenate(keys)))
+    found = _distinct(np.concatenate(blocks)) if blocks else np.empty(0, np.int64)
+    return found >> BITS, found & int(_MASK)
 
 
 @dataclass
@@ -63,27 +96,11 @@ class Classifier:
     weights: np.ndarray
     intercept: float
 
-    def __getstate__(self):
-        return {"weights": self.weights, "intercept": self.intercept}
-
-    def _weighty(self, word: str) -> tuple[int, ...]:
-        found = word_features(word)
-        return tuple(found[self.weights[found] != 0].tolist())
-
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if not hasattr(self, "words"):
-            self.words = Memo(self._weighty, MEMO)
-        margin = np.full(len(texts), self.intercept)
-        for i, text in enumerate(texts):
-            words = set(text.lower().split()) if text else ()
-            found = set().union(*map(self.words.__getitem__, words))
-            margin[i] += self.weights[list(found)].sum() if found else 0.0
+        at, found = features(texts, self.weights != 0)
+        margin = self.intercept + np.bincount(at, self.weights[found], minlength=len(texts))
         return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
 
-    def forget(self) -> None:
-        """Drop the memo at a task's end: workers outlive their tasks, and the next stage needs the memory."""
-        self.__dict__.pop("words", None)
-
 
 def log_count_ratios(rows: DataFrame, significant: float) -> tuple[np.ndarray, np.ndarray]:
     """Features and their smoothed log ratio of shares among toxic and among other documents, from rows of ``label`` and
@@ -104,8 +121,10 @@ def log_count_ratios(rows: DataFrame, significant: float) -> tuple[np.ndarray, n
 
 def _extract(batches):
     for batch in pieces(batches, 0):
-        found = [features(t) for t in batch.column(0).to_pylist()]
-        columns = [batch.column(1), batch.column(2), list_array(found, pa.int32())]
+        at, found = features(batch.column(0).to_pylist())
+        ends = np.searchsorted(at, np.arange(batch.num_rows + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(found, type=pa.int32()))
+        columns = [batch.column(1), batch.column(2), lists]
         yield pa.RecordBatch.from_arrays(columns, names=["label", "weight", "found"])
 
 
@@ -215,7 +234,6 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
         for batch in pieces(batches, 1):
             scores = shared.value.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
-        shared.value.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
 
@@ -230,6 +248,5 @@ def keep_clean(docs: DataFrame, model: Classifier, threshold: float = 0.5) -> Da
         for batch in pieces(batches, text_at):
             scores = shared.value.scores(batch.column(text_at).to_pylist())
             yield batch.filter(pa.array(scores < threshold))
-        shared.value.forget()
 
     return docs.mapInArrow(run, schema)

@@ -3,6 +3,8 @@
 import base64
 import hashlib
 import random
+import time
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -174,6 +176,43 @@ def test_toxicity_odd_rows(spark, odd_documents, no_documents):
     assert toxicity.keep_clean(no_documents, model).count() == 0
 
 
+def _toxicity_features(text):
+    """Word by word: the features of a text's words between word marks."""
+    words = [f"\x02{w}\x03" for w in set((text or "").lower().split())]
+    lengths = toxicity.LENGTHS
+    return {zlib.crc32(w[i : i + n].encode()) % (1 << toxicity.BITS) for w in words for n in lengths for i in range(max(1, len(w) - n + 1))}
+
+
+def _toxicity_model():
+    rng = np.random.default_rng(4)
+    return toxicity.Classifier(np.where(rng.random(1 << toxicity.BITS) < 0.1, rng.normal(size=1 << toxicity.BITS), 0.0), -0.25)
+
+
+def test_toxicity_scores_of_odd_texts():
+    rng = random.Random(6)
+    ranges = [(32, 127), (0, 40), (0x80, 0x800), (0x3000, 0xD7FF), (0x1F000, 0x20000)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(ranges))) for _ in range(rng.randrange(200))) for _ in range(300)]
+    texts += [None, "", " \n", "a", "x" * 300_000, "naïve " * 50_000, "\U0001f600" * 140_000, "İ Σας \x02\x03 a\x85b\x1cc", "same same"]
+    model = _toxicity_model()
+    margins = np.array([model.intercept + model.weights[sorted(_toxicity_features(t))].sum() for t in texts])
+    np.testing.assert_allclose(model.scores(texts), 1 / (1 + np.exp(-margins)), rtol=1e-9)
+    assert not len(model.scores([]))
+
+
+def test_toxicity_scores_rare_words_faster_than_word_by_word():
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(3, 12))) for _ in range(300)) for _ in range(300)]
+    model = _toxicity_model()
+    model.scores(texts[:5])
+    times = [time.process_time()]
+    scores = model.scores(texts)
+    times.append(time.process_time())
+    margins = np.array([model.intercept + model.weights[sorted(_toxicity_features(t))].sum() for t in texts])
+    times.append(time.process_time())
+    np.testing.assert_allclose(scores, 1 / (1 + np.exp(-margins)), rtol=1e-9)
+    assert times[1] - times[0] < (times[2] - times[1]) / 2
+
+
 def test_memo_is_bounded():
     calls = []
     memo = Memo(lambda k: calls.append(k) or k * 2, limit=3)
