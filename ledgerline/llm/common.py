@@ -52,10 +52,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table."""
+def save(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """Write ``df`` once to the shared folder, at most ``file_rows`` rows a file (0: any number), and return the written
+    table."""
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.option("maxRecordsPerFile", file_rows) if file_rows else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from ledgerline.llm import decontamination, exact_topk, jaccard_join, queries, surrogates, tool_calls, warc
+from ledgerline.llm.common import save
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
@@ -432,6 +433,40 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert got == _top(np.arange(600), np.floor(64 * vectors).astype(int), 20)
 
 
+def test_top_k_keeps_no_vector_a_query_and_shard(spark, monkeypatch):
+    for name, value in (("SHARD", 64), ("LEAF", 16), ("BLOCK", 16), ("ASKED", 600), ("STEP", 3)):
+        monkeypatch.setattr(exact_topk, name, value, raising=False)
+    kept = []
+
+    def keep(df, name, *more):
+        out = save(df, name, *more)
+        kept.extend([(name, out.count())] if "v" in out.columns else [])
+        return out
+
+    monkeypatch.setattr(exact_topk, "save", keep)
+    vectors = np.random.default_rng(5).normal(size=(1600, 12)).round(2)  # boxes of so many dimensions prune nothing
+    rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows + [(20, [1.0, 2.0]), (41, [2.0, 1.0])], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in exact_topk.top_k(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0).orderBy("query_id", "score", "vec_id").collect():
+        got[r["query_id"]].append((r["score"], r["vec_id"]))
+    want = _top(np.arange(1600), np.floor(64 * vectors).astype(int), 20)
+    want[20].append((2 * 128 * 64, 41))  # a query of another length
+    assert got == {q: sorted(x) for q, x in want.items()}
+    assert kept and max(n for _, n in kept) <= 1602, kept
+
+
+@pytest.mark.parametrize("most", [9, 2**11, 2**22, 2**28])
+def test_products_are_exact(most):
+    rng = np.random.default_rng(3)
+    vectors, queries = rng.integers(-most, most, (700, 8)), rng.integers(-most, most, (40, 8))
+    tree = exact_topk.build_tree(np.arange(700), vectors)
+    scores, found = exact_topk.search(tree, np.arange(40), queries, np.full(40, exact_topk.NONE), 7)
+    for q in range(40):
+        best = sorted((-sum(int(a) * int(b) for a, b in zip(queries[q], v)), i) for i, v in enumerate(vectors) if i != q)[:7]
+        assert [(-s, i) for s, i in best] == list(zip(scores[q].tolist(), found[q].tolist()))
+
+
 def test_top_k_few_rows_and_large_numbers(spark):
     frame = spark.createDataFrame([(0, [1e9, 2.0]), (20, [3.0, 1.0]), (3, [1.0]), (40, [2.0])], "vec_id long, embedding array<double>")
     rows = exact_topk.top_k(frame, "vec_id", "embedding", F.col("vec_id") % 20 == 0).collect()
